@@ -97,8 +97,8 @@ def build_fact_valid_ports(spark, sf_dir):
 def flagship_port_preference(spark, sf_dir):
     """Fact, cities and ports are built from the raw tables, then asked."""
     ports = adapters.ports(spark, sf_dir)
+    city_demo = plans.city_shares(adapters.cities(spark, sf_dir), ports)
     # Counts per nation and segment: one value per nation in each group.
-    city_demo = plans.build_city_demo(adapters.cities(spark, sf_dir), ports, bounded=True)
     return plans.port_preference(
         _fact(spark, sf_dir),
         adapters.countries(spark, sf_dir),

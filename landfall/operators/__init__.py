@@ -25,7 +25,7 @@ from landfall.operators.quality import (
     profile,
     reconcile,
 )
-from landfall.operators.ranks import dense_rank_by, share_of_total
+from landfall.operators.ranks import attach, dense_rank_by, dense_ranks, share_of_total
 from landfall.operators.sets import append_members, project, union_sources
 
 __all__ = [
@@ -33,11 +33,13 @@ __all__ = [
     "accepted",
     "add_label",
     "append_members",
+    "attach",
     "check_non_empty",
     "check_unique",
     "conform",
     "count_by",
     "dense_rank_by",
+    "dense_ranks",
     "distinct_count",
     "duplicate_keys",
     "enforce",

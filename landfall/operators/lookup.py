@@ -45,7 +45,10 @@ def keep_valid_codes(df: DataFrame, key: str, codes: DataFrame, code: str = "cod
 
 
 def require_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.dropna(subset=list(cols))
+    """Rows without a NULL in ``cols``, as predicates that reach the file scan."""
+    for col in cols:
+        df = df.filter(F.col(col).isNotNull())
+    return df
 
 
 def conform(df: DataFrame, dim: DataFrame, pairs: Mapping[str, str], null_safe: bool = False) -> DataFrame:

@@ -7,6 +7,7 @@ operator gathers such a group in one task unless the caller states a bound.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,27 +16,28 @@ from landfall.functions.ratios import percent_of
 from landfall.session import materialize
 
 
-def _match(left: DataFrame, right: DataFrame, cols: Sequence[str]):
-    condition = F.lit(True)
-    for col in cols:
-        condition = condition & left[col].eqNullSafe(right[f"_{col}"])
-    return condition
-
-
-def _attach(df: DataFrame, keyed: DataFrame, cols: Sequence[str], name: str) -> DataFrame:
+def attach(df: DataFrame, keyed: DataFrame, cols: Sequence[str], name: str) -> DataFrame:
     """Left join of one new column on equal (or both NULL) ``cols``."""
     keyed = keyed.select(*[F.col(c).alias(f"_{c}") for c in cols], F.col(name).alias("_new"))
-    joined = df.drop(name).join(keyed, _match(df, keyed, cols), "left")
+    condition = reduce(lambda a, b: a & b, [df[c].eqNullSafe(keyed[f"_{c}"]) for c in cols])
+    joined = df.drop(name).join(keyed, condition, "left")
     return joined.withColumn(name, F.col("_new")).drop("_new", *[f"_{c}" for c in cols])
 
 
 def dense_rank_by(df: DataFrame, group: Sequence[str], by: str, name: str, bounded: bool = False) -> DataFrame:
     """Dense rank within ``group`` by descending ``by``, NULL last, as ``bigint``.
 
-    Equal values share a rank, so only the different values are ranked and the
-    rank is joined back. They are sorted across the cluster, their positions
-    are counted per sort slice, and a rank is the distance from the first
-    position of the group.
+    Equal values share a rank, so the different values are ranked by
+    :func:`dense_ranks` and the rank is joined back.
+    """
+    return attach(df, dense_ranks(df, group, by, name, bounded), [*group, by], name)
+
+
+def dense_ranks(df: DataFrame, group: Sequence[str], by: str, name: str, bounded: bool = False) -> DataFrame:
+    """The different values of each group with their dense rank.
+
+    The values are sorted across the cluster, their positions are counted per
+    sort slice, and a rank is the distance from the first position of the group.
 
     ``bounded`` states that a group holds few different values, whatever the
     number of rows; then one task per group ranks them.
@@ -44,10 +46,8 @@ def dense_rank_by(df: DataFrame, group: Sequence[str], by: str, name: str, bound
     values = df.select(*group, by).distinct()
     if bounded:
         order = Window.partitionBy(*group).orderBy(F.desc_nulls_last(by))
-        ranked = values.withColumn(name, F.dense_rank().over(order).cast("bigint"))
-    else:
-        ranked = _rank_sorted(values, group, by, name)
-    return _attach(df, ranked, [*group, by], name)
+        return values.withColumn(name, F.dense_rank().over(order).cast("bigint"))
+    return _rank_sorted(values, group, by, name)
 
 
 def _rank_sorted(values: DataFrame, group: list[str], by: str, name: str) -> DataFrame:
@@ -68,7 +68,7 @@ def _rank_sorted(values: DataFrame, group: list[str], by: str, name: str) -> Dat
         *group, by, (F.col("_start") + F.col("_offset")).alias("_position")
     )
     firsts = positions.groupBy(*group).agg(F.min("_position").alias("_first"))
-    return _attach(positions, firsts, group, "_first").select(
+    return attach(positions, firsts, group, "_first").select(
         *group, by, (F.col("_position") - F.col("_first") + 1).alias(name)
     )
 
@@ -87,5 +87,5 @@ def share_of_total(
     """
     parts = df.groupBy(*part).agg(F.sum(value).alias("_sum"))
     wholes = parts.groupBy(*whole).agg(F.sum("_sum").alias("_total"))
-    shares = _attach(parts, wholes, list(whole), "_total").withColumn(name, percent_of("_sum", "_total"))
-    return _attach(df, shares, list(part), name)
+    shares = attach(parts, wholes, list(whole), "_total").withColumn(name, percent_of("_sum", "_total"))
+    return attach(df, shares, list(part), name)

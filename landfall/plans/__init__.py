@@ -18,7 +18,7 @@ from landfall.plans.dictionaries import (
     parse_abroad_ports,
     parse_us_ports,
 )
-from landfall.plans.dimensions import build_airports, build_city_demo, clean_airports
+from landfall.plans.dimensions import build_airports, build_city_demo, city_shares, clean_airports
 from landfall.plans.fact import build_fact
 from landfall.plans.jobs import run_dimensions, run_fact
 
@@ -33,6 +33,7 @@ __all__ = [
     "build_ports",
     "carrier_preference",
     "city_list",
+    "city_shares",
     "clean_airports",
     "month_keys",
     "parse_abroad_ports",

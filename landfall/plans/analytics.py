@@ -12,10 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landfall.operators import (
+    attach,
     conform,
     count_by,
-    dense_rank_by,
+    dense_ranks,
     first_per_key,
+    require_not_null,
     top_k,
     union_sources,
 )
@@ -80,11 +82,12 @@ def port_preference(
     """Where visitors of a continent enter, next to that city's population of a group.
 
     The rank is over the ports in ``city_demo``, by number of people. Ranks are
-    within a group, so only the group asked for is ranked.
+    within a group, so only the group asked for is ranked; ``bounded`` is as in
+    :func:`landfall.operators.dense_ranks`.
     """
     counts = visitor_ports(fact, countries, continent, visa, year, month)
     people = city_demo.filter(F.col("Race") == race).select("code", "Race", "Count", "Race_percent_by_city")
-    people = dense_rank_by(people, ["Race"], "Count", "Race_rank_by_city", bounded)
+    ranks = dense_ranks(people, ["Race"], "Count", "Race_rank_by_city", bounded)
     people = people.withColumnRenamed("code", "demo_code")
     placed = conform(counts, ports, {"i94port": "code"})
     described = conform(placed, people, {"i94port": "demo_code"})
@@ -97,9 +100,11 @@ def port_preference(
         "Race",
         "Count",
         "Race_percent_by_city",
-        "Race_rank_by_city",
     )
-    return top_k(chosen, k, "students_count", ["i94port", "locality", "province"])
+    tiebreak = ["i94port", "locality", "province"]
+    # Only the k rows need their rank.
+    top = attach(top_k(chosen, k, "students_count", tiebreak), ranks, ["Race", "Count"], "Race_rank_by_city")
+    return top_k(top, k, "students_count", tiebreak)
 
 
 def traffic(
@@ -125,7 +130,7 @@ def carrier_preference(
     month: int | None = None,
 ) -> DataFrame:
     """Arrivals per airline, or per airline within other columns."""
-    counts = count_by(_in_month(fact, year, month).dropna(subset=["airline"]), by, "arrivals")
+    counts = count_by(require_not_null(_in_month(fact, year, month), ["airline"]), by, "arrivals")
     return counts if k is None else top_k(counts, k, "arrivals", by)
 
 

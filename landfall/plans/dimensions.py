@@ -69,6 +69,13 @@ def build_airports(airports: DataFrame, ports: DataFrame, null_safe: bool = Fals
     return project(conform(airports, ports, place, null_safe), AIRPORT_COLUMNS)
 
 
+def city_shares(cities: DataFrame, ports: DataFrame) -> DataFrame:
+    """Cities with a port, with the share of each group but without ranks."""
+    shares = cities.withColumn("Race_percent_by_city", percent_of("Count", "Total Population"))
+    columns = {old: new for old, new in CITY_COLUMNS.items() if new != "Race_rank_by_city"}
+    return project(conform(shares, ports, {"City": "locality", "State": "province"}), columns)
+
+
 def build_city_demo(cities: DataFrame, ports: DataFrame, bounded: bool = False) -> DataFrame:
     """Cities with a port: demographics, share of each group and its rank over all cities.
 

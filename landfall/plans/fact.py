@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from landfall.functions import mdy_to_iso, sas_day_to_iso
+from landfall.functions import label_of, mdy_to_iso, sas_day_to_iso
 from landfall.operators import add_label, keep_valid_codes, project, require_not_null
-from landfall.sources import modes, visas
+from landfall.sources import MODE_LABELS, VISA_LABELS
 
 # Column order of the fact table.
 FACT_COLUMNS = [
@@ -42,7 +41,6 @@ def build_fact(
     ``as_recorded`` treats day 0 as missing and reorders any due date, valid or
     not.
     """
-    spark = raw.sparkSession
     rows = require_not_null(raw, ["i94port"])
     if valid_ports is not None:
         rows = keep_valid_codes(rows, "i94port", valid_ports)
@@ -51,10 +49,9 @@ def build_fact(
             "iso_arrdate": sas_day_to_iso("arrdate", zero_is_null=as_recorded),
             "iso_depdate": sas_day_to_iso("depdate", zero_is_null=as_recorded),
             "iso_duedate": mdy_to_iso("dtaddto", lenient=as_recorded),
+            "i94_mode": label_of("i94mode", MODE_LABELS),
+            "i94_visa": label_of("i94visa", VISA_LABELS),
         }
     )
-    # The two literal tables have four and three rows.
-    rows = add_label(rows, "i94mode", F.broadcast(modes(spark)), "i94mode", "i94_mode")
-    rows = add_label(rows, "i94visa", F.broadcast(visas(spark)), "i94visa", "i94_visa")
     rows = add_label(rows, "i94addr", addresses, "i94addr", "i94addr_US_state")
     return project(rows, FACT_COLUMNS, CASTS)

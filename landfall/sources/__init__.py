@@ -1,6 +1,6 @@
 """Readers, writers and literal tables."""
 
-from landfall.sources.literals import literal_table, modes, states, visas
+from landfall.sources.literals import MODE_LABELS, VISA_LABELS, literal_table, modes, states, visas
 from landfall.sources.readers import (
     land,
     locate,
@@ -12,6 +12,8 @@ from landfall.sources.readers import (
 from landfall.sources.writers import replace_month, write_csv, write_months, write_table
 
 __all__ = [
+    "MODE_LABELS",
+    "VISA_LABELS",
     "land",
     "literal_table",
     "locate",
