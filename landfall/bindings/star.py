@@ -6,7 +6,9 @@ from landfall import plans
 from landfall.bindings import adapters
 from landfall.bindings.registry import query, table
 from landfall.operators import match_rate
-from landfall.sources import literal_table, states
+from landfall.schemas import FACT
+from landfall.session import scratch_path
+from landfall.sources import literal_table, read_table, states, write_months, write_table
 
 _RAW = """lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey"""
 
@@ -34,15 +36,21 @@ _CITIES = f"""(
     group by n_name, r_name, c_mktsegment
 )"""
 
-# Students from Asia, each at the port of the first record.
-_STUDENTS = f"""(
-    select i94port, count(*) as students_count from (
-        select 'P' || l_suppkey as i94port,
-               row_number() over (partition by o_custkey order by l_orderkey, 'P' || l_suppkey) as nth
-        from {_RAW} join {_NATIONS} on c_nationkey = n_nationkey
-        where r_name = 'ASIA' and o_orderpriority = '3-MEDIUM' and l_tax > 0
-    ) where nth = 1 group by i94port
-)"""
+
+
+def _students_sql(where: str = "true") -> str:
+    """Students from Asia, each at the port of the first record."""
+    return f"""(
+        select i94port, count(*) as students_count from (
+            select 'P' || l_suppkey as i94port,
+                   row_number() over (partition by o_custkey order by l_orderkey, 'P' || l_suppkey) as nth
+            from {_RAW} join {_NATIONS} on c_nationkey = n_nationkey
+            where r_name = 'ASIA' and o_orderpriority = '3-MEDIUM' and l_tax > 0 and {where}
+        ) where nth = 1 group by i94port
+    )"""
+
+
+_STUDENTS = _students_sql()
 
 
 def _fact(spark, sf_dir):
@@ -83,17 +91,21 @@ def build_fact_valid_ports(spark, sf_dir):
     )
 
 
-@query(f"""
-    select s.i94port, students_count, locality, province, territory, race as "Race", people as "Count",
-           people * 100 / total as "Race_percent_by_city", place as "Race_rank_by_city"
-    from {_STUDENTS} s join {_PORTS} p on i94port = code
-    join (
-        select c.*, dense_rank() over (partition by race order by people desc) as place
-        from {_CITIES} c where exists (select 1 from {_PORTS} q where q.locality = c.city and q.province = c.state)
-    ) d on d.city = p.locality and d.state = p.province
-    where race = 'BUILDING'
-    order by students_count desc, s.i94port limit 10
-""")
+def _preference_sql(where: str = "true") -> str:
+    return f"""
+        select s.i94port, students_count, locality, province, territory, race as "Race", people as "Count",
+               people * 100 / total as "Race_percent_by_city", place as "Race_rank_by_city"
+        from {_students_sql(where)} s join {_PORTS} p on i94port = code
+        join (
+            select c.*, dense_rank() over (partition by race order by people desc) as place
+            from {_CITIES} c where exists (select 1 from {_PORTS} q where q.locality = c.city and q.province = c.state)
+        ) d on d.city = p.locality and d.state = p.province
+        where race = 'BUILDING'
+        order by students_count desc, s.i94port limit 10
+    """
+
+
+@query(_preference_sql())
 def flagship_port_preference(spark, sf_dir):
     """Fact, cities and ports are built from the raw tables, then asked."""
     ports = adapters.ports(spark, sf_dir)
@@ -109,6 +121,24 @@ def flagship_port_preference(spark, sf_dir):
     )
 
 
+@query(_preference_sql("month(l_shipdate) = 8"))
+def stored_star_preference(spark, sf_dir):
+    """The star is stored first; the question is for August and reads only those partitions."""
+    fact_path, demo_path = scratch_path(spark, "fact"), scratch_path(spark, "cities_demo")
+    ports = adapters.ports(spark, sf_dir)
+    write_months(_fact(spark, sf_dir), fact_path, ["i94yr", "i94mon"])
+    demo = plans.build_city_demo(adapters.cities(spark, sf_dir), ports)
+    write_table(demo, demo_path)
+    return plans.port_preference(
+        read_table(spark, fact_path, FACT),
+        adapters.countries(spark, sf_dir),
+        ports,
+        read_table(spark, demo_path, demo.schema),
+        race="BUILDING",
+        month=8,
+    )
+
+
 @query(f"select i94port, students_count from {_STUDENTS}")
 def student_ports(spark, sf_dir):
     return plans.visitor_ports(_fact(spark, sf_dir), adapters.countries(spark, sf_dir))

@@ -2,10 +2,21 @@
 
 from pyspark.sql import functions as F
 
+from landfall.bindings import adapters
 from landfall.bindings.registry import query, table
-from landfall.operators import project
+from landfall.operators import accepted, project, split_dictionary
 from landfall.session import scratch_path
-from landfall.sources import land, read_csv, read_table, replace_month, write_csv, write_months, write_table
+from landfall.sources import (
+    land,
+    read_arrivals,
+    read_csv,
+    read_labels,
+    read_table,
+    replace_month,
+    write_csv,
+    write_months,
+    write_table,
+)
 
 _MONTHLY = "o_orderkey bigint, o_custkey bigint, o_totalprice double, yr int, mon int, port string"
 
@@ -70,6 +81,41 @@ def month_append(spark, sf_dir):
     )
 
 
+@query("""
+    select n_name as "City", r_name as "State", c_mktsegment as "Race", count(*) as "Count"
+    from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey
+    group by all
+""")
+def cities_by_state(spark, sf_dir):
+    path = scratch_path(spark, "cities")
+    cities = adapters.cities(spark, sf_dir)
+    write_table(cities, path, keys=["State"])
+    return read_table(spark, path, cities.schema).select("City", "State", "Race", "Count")
+
+
+@query("select c_custkey as code, c_name as label from customer")
+def label_text_scan(spark, sf_dir):
+    path = scratch_path(spark, "labels")
+    line = F.format_string("'%d'\t=\t'%s'", "c_custkey", "c_name")
+    write_table(table(spark, sf_dir, "customer").select(line.alias("value")), path, fmt="text")
+    entries = accepted(split_dictionary(read_labels(spark, path), ["code", "label"]))
+    return project(entries, ["code", "label"], {"code": "bigint"})
+
+
+@query("""
+    select cast(l_orderkey as double) as cicid, cast(o_custkey as double) as admnum,
+           case when l_tax > 0 then 'P' || l_suppkey end as i94port,
+           case when l_returnflag = 'R' then 'D/S' else strftime(o_orderdate, '%m%d%Y') end as dtaddto
+    from lineitem join orders on l_orderkey = o_orderkey
+""")
+def arrivals_ingest(spark, sf_dir):
+    """The raw extract as delivered in CSV, landed as Parquet, read under its contract."""
+    delivered, landed = scratch_path(spark, "extract"), scratch_path(spark, "landed")
+    write_csv(adapters.raw_arrivals(spark, sf_dir), delivered)
+    land(read_arrivals(spark, delivered, fmt="csv"), landed)
+    return read_arrivals(spark, landed).select("cicid", "admnum", "i94port", "dtaddto")
+
+
 @query("select s_suppkey, s_name, s_nationkey, case when s_acctbal > 0 then s_acctbal end as s_acctbal from supplier")
 def csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "suppliers")

@@ -73,6 +73,13 @@ def _has_only_ascii(text: Column) -> Column:
     return F.char_length(text) == F.octet_length(text)
 
 
+def _spell_out(text: Column) -> Column:
+    spelled = text
+    for letter, spelling in _ONE_TO_MANY.items():
+        spelled = F.replace(spelled, F.lit(letter), F.lit(spelling))
+    return F.when(_has_only_ascii(text), text).otherwise(spelled)
+
+
 def strip_blanks(col) -> Column:
     return F.btrim(as_column(col), F.lit(BLANKS))
 
@@ -129,9 +136,10 @@ def to_ascii(col, null_as_empty: bool = False) -> Column:
     Characters of other scripts stay as they are.
     """
     text = as_column(col)
-    plain = F.translate(text, "".join(_ONE_TO_ONE), "".join(_ONE_TO_ONE.values()))
-    for letter, spelling in _ONE_TO_MANY.items():
-        plain = F.replace(plain, F.lit(letter), F.lit(spelling))
+    letters = F.translate(text, "".join(_ONE_TO_ONE), "".join(_ONE_TO_ONE.values()))
+    # Few texts still hold a letter that needs more than one character. The
+    # one-element array lets both branches share the translated text.
+    plain = F.get(F.transform(F.array(letters), _spell_out), 0)
     result = F.when(_has_only_ascii(text), text).otherwise(plain)
     return F.coalesce(result, F.lit("")) if null_as_empty else result
 
