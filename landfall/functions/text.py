@@ -51,6 +51,12 @@ WITHOUT_BASE = {
     "\u00a0": " ",
 }
 
+OUTSIDE_LATIN1 = r"[^\x00-\xff]"
+# A character outside Latin-1, or one that would start a UTF-8 sequence and is
+# not followed by a continuation. In text that was right, the first letter with
+# a mark is already one.
+NOT_GARBLED = r"[^\x00-\xbf](?:(?<=[^\x00-\xff])|(?![\x80-\xbf]))"
+
 
 def _ascii_spelling() -> dict[str, str]:
     """Every covered character with its ASCII spelling."""
@@ -121,12 +127,11 @@ def repair_latin1(col, lossy: bool = False, null_as_empty: bool = False) -> Colu
     """
     text = as_column(col)
     raw = F.encode(text, "ISO-8859-1").cast("string")
-    fits = text.rlike(r"\A[\x00-\xff]*\z")
     if lossy:
-        repaired = F.when(fits, F.make_valid_utf8(raw))
+        unfit, repaired = text.rlike(OUTSIDE_LATIN1), F.make_valid_utf8(raw)
     else:
-        repaired = F.when(fits, F.when(F.is_valid_utf8(raw), raw))
-    result = F.when(_has_only_ascii(text), text).otherwise(F.coalesce(repaired, text))
+        unfit, repaired = text.rlike(NOT_GARBLED), F.coalesce(F.try_validate_utf8(raw), text)
+    result = F.when(_has_only_ascii(text) | unfit, text).otherwise(repaired)
     return F.coalesce(result, F.lit("")) if null_as_empty else result
 
 
