@@ -91,8 +91,12 @@ def strip_blanks(col) -> Column:
 
 
 def unquote(col) -> Column:
-    """Drop blanks, then single quotes, then the blanks inside the quotes."""
-    return strip_blanks(F.btrim(strip_blanks(col), F.lit("'")))
+    """Drop blanks, then single quotes, then the blanks inside the quotes.
+
+    A quote doubled within the quotes stands for one.
+    """
+    inner = strip_blanks(F.btrim(strip_blanks(col), F.lit("'")))
+    return F.replace(inner, F.lit("''"), F.lit("'"))
 
 
 def title_case(col) -> Column:

@@ -10,6 +10,7 @@ from landfall.operators.counts import (
 from landfall.operators.dedupe import duplicate_keys, first_per_key
 from landfall.operators.labels import (
     accepted,
+    flag_withdrawn,
     place_parts,
     redirect_codes,
     rejected,
@@ -44,6 +45,7 @@ __all__ = [
     "duplicate_keys",
     "enforce",
     "first_per_key",
+    "flag_withdrawn",
     "global_count",
     "keep_valid_codes",
     "match_rate",

@@ -27,6 +27,14 @@ def split_dictionary(lines: DataFrame, fields: Sequence[str], sep: str = EQUALS)
     return lines.withColumn("_pieces", pieces).select("value", *columns, problem.alias("problem"))
 
 
+def flag_withdrawn(entries: DataFrame, label: str) -> DataFrame:
+    """Report labels that say the code is collapsed or was never given."""
+    known = F.col("problem")
+    return entries.withColumn(
+        "problem", F.when(known.isNull() & F.col(label).rlike(NO_CODE), "withdrawn").otherwise(known)
+    )
+
+
 def place_parts(entries: DataFrame, label: str, tail: Sequence[str], facility: str) -> DataFrame:
     """Read a comma-separated place from its end.
 
@@ -41,12 +49,12 @@ def place_parts(entries: DataFrame, label: str, tail: Sequence[str], facility: s
     columns[facility] = F.when(F.size(parts) == depth + 1, part_from_end(parts, depth + 1)).otherwise("")
     problem = (
         F.when(F.col("problem").isNotNull(), F.col("problem"))
-        .when(F.col(label).rlike(NO_CODE), "withdrawn")
         .when(F.size(parts) < depth, "too few parts")
         .when(F.size(parts) > depth + 1, "too many parts")
     )
     return (
-        entries.withColumn("_parts", F.split(label, ","))
+        flag_withdrawn(entries, label)
+        .withColumn("_parts", F.split(label, ","))
         .withColumns({**columns, "problem": problem})
         .drop("_parts")
     )

@@ -14,6 +14,7 @@ from landfall.plans.dictionaries import (
     UNKNOWN_PORTS,
     build_addresses,
     build_countries,
+    build_port_codes,
     build_ports,
     parse_abroad_ports,
     parse_us_ports,
@@ -30,6 +31,7 @@ __all__ = [
     "build_city_demo",
     "build_countries",
     "build_fact",
+    "build_port_codes",
     "build_ports",
     "carrier_preference",
     "city_list",

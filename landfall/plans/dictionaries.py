@@ -12,6 +12,7 @@ from landfall.operators import (
     accepted,
     add_label,
     append_members,
+    flag_withdrawn,
     place_parts,
     project,
     rejected,
@@ -70,15 +71,38 @@ def build_ports(
     return append_members(ports, unknown), problems
 
 
-def build_countries(lines: DataFrame) -> DataFrame:
-    """``code = 'NAME' = 'CONTINENT'`` lines; names in lower case."""
-    entries = accepted(split_dictionary(lines, ["cit_res_code", "country", "continent"]))
-    lowered = entries.withColumn("country", F.lower("country"))
-    return project(lowered, ["cit_res_code", "country", "continent"], {"cit_res_code": "int"})
+def build_port_codes(ports: DataFrame) -> DataFrame:
+    """The list of valid codes."""
+    return ports.select("code")
 
 
-def build_addresses(lines: DataFrame) -> DataFrame:
-    """``'code' = 'STATE'`` lines; names in title case."""
+def build_countries(lines: DataFrame, continents: DataFrame | None = None) -> DataFrame:
+    """``code = 'NAME' = 'CONTINENT'`` lines; names in lower case.
+
+    With a ``continents`` table (``cit_res_code``, ``continent``) the lines are
+    ``code = 'NAME'``. Entries that say the code is withdrawn are left out.
+    """
+    fields = ["cit_res_code", "country"] + ([] if continents is not None else ["continent"])
+    entries = accepted(flag_withdrawn(split_dictionary(lines, fields), "country"))
+    named = project(
+        entries.withColumns({"country": F.lower("country")}), fields, {"cit_res_code": "int"}
+    )
+    if continents is None:
+        return named
+    return add_label(named, "cit_res_code", continents, "cit_res_code", "continent")
+
+
+def build_addresses(lines: DataFrame, states: DataFrame | None = None) -> DataFrame:
+    """``'code' = 'STATE'`` lines; names in title case.
+
+    With a ``states`` table the names are spelled as there, and so equal the
+    provinces of the ports dimension; codes it lacks keep their label.
+    """
     entries = accepted(split_dictionary(lines, ["i94addr", "i94addr_US_state"]))
     titled = entries.withColumn("i94addr_US_state", title_case("i94addr_US_state"))
+    if states is not None:
+        titled = add_label(
+            titled, "i94addr", states, "abbreviation", "state",
+            name="i94addr_US_state", default=F.col("i94addr_US_state"),
+        )
     return project(titled, ["i94addr", "i94addr_US_state"])

@@ -1,5 +1,5 @@
 from landfall.operators import accepted, place_parts, redirect_codes, rejected, split_dictionary
-from landfall.plans import build_addresses, build_countries, build_ports
+from landfall.plans import build_addresses, build_countries, build_port_codes, build_ports
 from landfall.plans.dictionaries import UNKNOWN_PORTS
 from landfall.sources import read_labels, states
 
@@ -96,6 +96,33 @@ def test_addresses_from_a_file(spark, tmp_path):
     ]
 
 
+def test_countries_with_a_table_of_continents(spark):
+    text = lines(
+        spark,
+        "   582 =  'MEXICO Air Sea'",
+        "   311 =  'Collapsed Tanzania (should not show)'",
+        "   403 =  'No Country Code (403)'",
+        "   236 =  'AFGHANISTAN'",
+    )
+    continents = spark.createDataFrame([(236, "Asia")], "cit_res_code int, continent string")
+    assert sorted(tuple(r) for r in build_countries(text, continents).collect()) == [
+        (236, "afghanistan", "Asia"), (582, "mexico air sea", None),
+    ]
+
+
+def test_addresses_spelled_as_in_the_state_table(spark):
+    text = lines(spark, "'WI'='WISCONSON'", "'DC'='District Of Columbia'", "'99'='All Other Codes'")
+    assert sorted(tuple(r) for r in build_addresses(text, states(spark)).collect()) == [
+        ("99", "All Other Codes"), ("DC", "District of Columbia"), ("WI", "Wisconsin"),
+    ]
+
+
+def test_port_codes(spark):
+    ports, _ = build_ports(lines(spark, *US), lines(spark, *ABROAD), states(spark))
+    codes = build_port_codes(ports)
+    assert codes.columns == ["code"] and codes.count() == 14
+
+
 def test_redirects(spark):
     entries = spark.createDataFrame(
         [

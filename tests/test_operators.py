@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import pytest
+from conftest import plan_text
 from pyspark.sql import functions as F
 
 from landfall.operators import (
@@ -204,3 +205,37 @@ def test_totals_survive_skew(spark):
     keys = [0 if i % 3 else i for i in range(3000)]
     df = spark.createDataFrame([(k,) for k in keys], "k int")
     assert {r.k: r.n for r in count_by(df, ["k"]).collect()} == Counter(keys)
+
+
+def test_hot_keys_are_split_when_no_side_is_small(spark):
+    """A third of the rows share one key and nothing may be broadcast."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        facts = spark.range(0, 900000, 1, 16).select(
+            "id", F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 20000).alias("k")
+        )
+        dim = spark.range(20000).select(F.col("id").alias("code"), F.col("id").cast("string").alias("name"))
+        results = {
+            "label": add_label(facts, "k", dim, "code", "name"),
+            "conform": conform(facts, dim, {"k": "code"}),
+            "null safe": conform(facts, dim, {"k": "code"}, null_safe=True),
+            "valid": keep_valid_codes(facts, "k", dim),
+            "rank": dense_rank_by(facts.withColumn("g", F.col("k") % 3), ["g"], "k", "place"),
+            "share": share_of_total(facts.withColumn("g", F.col("k") % 3), ["g", "k"], ["g"], "id", "share"),
+        }
+        for label, df in results.items():
+            counted = df.agg(F.count(F.lit(1)).alias("n"), *[F.max(c) for c in df.columns])
+            assert counted.collect()[0].n == 900000, label
+            assert "skewed" in plan_text(counted), label
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

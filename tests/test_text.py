@@ -47,8 +47,8 @@ def test_title_case_equals_capitalized_words(one):
 
 
 def test_unquote(one):
-    assert one(unquote, ["'ALC'", " 'ALCAN, AK   '   ", "x", "''", None, "\t'a b'\r"], S) == [
-        "ALC", "ALCAN, AK", "x", "", None, "a b",
+    assert one(unquote, ["'ALC'", " 'ALCAN, AK   '   ", "x", "''", None, "\t'a b'\r", "'INT''L FALLS '"], S) == [
+        "ALC", "ALCAN, AK", "x", "", None, "a b", "INT'L FALLS",
     ]
 
 
