@@ -164,10 +164,10 @@ def top_student_places(spark, sf_dir):
            cast(null as varchar) as coordinates, 'US-' || r_name as iso_region, 'Aeródromo ' || s_name as "nameL",
            n_name as "municipalityL", unnest([n_name, 'N' || n_nationkey]) as code
     from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey
-    where r_name <> 'AFRICA'
+    where r_name not in ('AFRICA', 'EUROPE')
 """)
 def build_airports(spark, sf_dir):
-    """Suppliers as airfields with a garbled name, in a region that may be unknown."""
+    """Suppliers as airfields with a garbled name, in a region or country that may be unknown."""
     nations = adapters.places(spark, sf_dir)
     none = F.lit(None).cast("string")
     raw = (
@@ -179,7 +179,7 @@ def build_airports(spark, sf_dir):
             F.concat(F.lit("AerÃ³dromo "), "s_name").alias("name"),
             F.floor("s_acctbal").cast("int").alias("elevation_ft"),
             F.lit("NA").alias("continent"),
-            F.lit("US").alias("iso_country"),
+            F.when(F.col("r_name") == "EUROPE", "XK").otherwise("US").alias("iso_country"),
             F.concat(F.lit("US-"), "r_name").alias("iso_region"),
             F.col("n_name").alias("municipality"),
             none.alias("gps_code"),

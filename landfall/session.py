@@ -7,8 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings the operators are written for. On a cluster pass them to
-# spark-submit; shuffle partitions are an upper bound that AQE coalesces.
+# Settings the operators are written for.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -18,6 +17,25 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+PARTITION_BYTES = 256 * 1024**2
+MAX_PARTITIONS = 50_000
+
+
+def cluster_settings(shuffle_bytes: int) -> dict[str, str]:
+    """Settings for a cluster, given the size of the largest shuffle of a job.
+
+    Adaptive execution merges small shuffle partitions but only splits skewed
+    ones, so their number is set from the size. It is bounded, since every map
+    task serves every partition; beyond the bound partitions grow and spill.
+    """
+    partitions = min(max(-(-shuffle_bytes // PARTITION_BYTES), 200), MAX_PARTITIONS)
+    return SETTINGS | {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(PARTITION_BYTES),
+    }
+
 
 def local_session(cpus: str = "*", name: str = "landfall") -> SparkSession:
     """A session on this machine, for tests and benchmarks."""

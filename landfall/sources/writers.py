@@ -2,7 +2,9 @@
 
 Partitioned writes ask for a rebalance on the partition keys: rows of one key
 meet in few files, while a key that holds a large share of the rows is split
-over several tasks and small keys share one.
+over several tasks and small keys share one. Where the rows already arrive
+clustered by key, ``clustered=True`` saves that shuffle. The writer option
+``maxRecordsPerFile`` bounds the files.
 """
 
 from __future__ import annotations
@@ -15,10 +17,11 @@ from pyspark.sql import functions as F
 MONTH_KEYS = ("i94yr", "i94mon", "i94port")
 
 
-def _partitioned(df: DataFrame, keys: Sequence[str]):
+def _partitioned(df: DataFrame, keys: Sequence[str], clustered: bool):
     if not keys:
         return df.write
-    return df.hint("rebalance", *keys).write.partitionBy(*keys)
+    rows = df if clustered else df.hint("rebalance", *keys)
+    return rows.write.partitionBy(*keys)
 
 
 def write_table(
@@ -27,10 +30,11 @@ def write_table(
     keys: Sequence[str] = (),
     mode: str = "errorifexists",
     fmt: str = "parquet",
+    clustered: bool = False,
     **options,
 ) -> None:
     """Write a table, by default failing if it exists."""
-    _partitioned(df, keys).mode(mode).format(fmt).options(**options).save(path)
+    _partitioned(df, keys, clustered).mode(mode).format(fmt).options(**options).save(path)
 
 
 def write_csv(
@@ -58,14 +62,20 @@ def write_csv(
     write_table(df, path, mode=mode, fmt="csv", **{**settings, **options})
 
 
-def write_months(df: DataFrame, path: str, keys: Sequence[str] = MONTH_KEYS, **options) -> None:
+def write_months(
+    df: DataFrame,
+    path: str,
+    keys: Sequence[str] = MONTH_KEYS,
+    clustered: bool = False,
+    **options,
+) -> None:
     """Write a partitioned fact table, replacing only the partitions in ``df``.
 
     Other months stay. A partition the new rows no longer touch stays too, so
     use :func:`replace_month` to reload a month as a whole.
     """
     (
-        _partitioned(df, keys)
+        _partitioned(df, keys, clustered)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .options(**options)
@@ -79,6 +89,7 @@ def replace_month(
     year: int,
     month: int,
     keys: Sequence[str] = MONTH_KEYS,
+    clustered: bool = False,
     **options,
 ) -> None:
     """Make one month of the table equal to that month's rows in ``df``.
@@ -89,7 +100,7 @@ def replace_month(
     year_key, month_key, *rest = keys
     rows = df.filter((F.col(year_key) == year) & (F.col(month_key) == month)).drop(year_key, month_key)
     (
-        _partitioned(rows, rest)
+        _partitioned(rows, rest, clustered)
         .mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .options(**options)

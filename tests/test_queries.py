@@ -6,6 +6,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from conftest import plan_text
 
 import __spark_entry__ as contract
 from landfall.bindings.registry import SCHEMAS, table
@@ -42,6 +43,8 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
     df = QUERIES[name](spark, SF_DIR)
+    plan = plan_text(df)
+    assert not [word for word in ("Cartesian", "NestedLoop", "EvalPython", "MapInPandas") if word in plan]
     columns = sorted(df.columns)
     result = duck.execute(SQL[name])
     found = [d[0] for d in result.description]

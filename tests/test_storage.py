@@ -1,8 +1,10 @@
+from types import SimpleNamespace
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from landfall.session import scratch_path, shared_folder
+from landfall.session import cluster_settings, scratch_path, shared_folder
 from landfall.sources import (
     land,
     locate,
@@ -127,3 +129,30 @@ def test_locations(spark):
     assert locate("s3a://bucket/base/", "/x.csv") == "s3a://bucket/base/x.csv"
     assert scratch_path(spark, "n").startswith(shared_folder(spark))
     assert scratch_path(spark, "n") != scratch_path(spark, "n")
+
+
+def session_stub(master, folder=None):
+    conf = SimpleNamespace(get=lambda key, default: folder or default, set=lambda key, value: None)
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None))
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session_stub("yarn"))
+    assert shared_folder(session_stub("yarn", "hdfs://shared/")) == "hdfs://shared"
+    assert "landfall-" in shared_folder(session_stub("local[8]"))
+
+
+def test_partitions_follow_the_size_of_the_shuffle():
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert cluster_settings(1024)[key] == "200"
+    assert cluster_settings(10**12)[key] == "3726"
+    assert cluster_settings(100 * 10**12)[key] == "50000"
+
+
+def test_clustered_rows_are_written_without_a_shuffle(spark, fact, tmp_path):
+    path = str(tmp_path / "fact")
+    write_months(fact.coalesce(1).sortWithinPartitions("i94mon", "i94port"), path, clustered=True)
+    assert stored(spark, path) == {tuple(r) for r in fact.collect()}
+    replace_month(fact, path, 2016, 4, clustered=True)
+    assert stored(spark, path) == {tuple(r) for r in fact.collect()}

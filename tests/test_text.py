@@ -1,3 +1,5 @@
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +35,33 @@ def test_repair_lossy(one):
     assert one(lambda c: repair_latin1(c, lossy=True, null_as_empty=True), [None, "a"], S) == ["", "a"]
 
 
+# Letters whose bytes in UTF-8 and Latin-1 make and break each other.
+LATIN1 = st.text(st.sampled_from("aé\u00a0\u00bf\u0080\u009f\u00c0\u00c2\u00c3\u00df\u00e0\u00e2\u00ed\u00f0\u00f4\u00f5\u00ff"), max_size=8)
+MIXED = st.one_of(LATIN1, st.text(st.sampled_from("aé\u00c3\u00a9Ł東"), max_size=6))
+
+
+def strict_repair(text):
+    try:
+        return text.encode("latin-1").decode("utf-8")
+    except UnicodeError:
+        return text
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(MIXED, min_size=150, max_size=300))
+def test_repair_equals_reading_the_bytes(one, texts):
+    garbled = [t.encode("utf-8").decode("latin-1") for t in texts]
+    assert one(repair_latin1, texts, S) == [strict_repair(t) for t in texts]
+    assert one(repair_latin1, garbled, S) == texts
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(LATIN1, min_size=150, max_size=300))
+def test_lossy_repair_equals_reading_the_bytes(one, texts):
+    expected = [t.encode("latin-1").decode("utf-8", "replace") for t in texts]
+    assert one(lambda c: repair_latin1(c, lossy=True), texts, S) == expected
+
+
 def test_to_ascii(one):
     texts = ["Corazón de Jesús Airport", "Łódź", "Straße", "Ærøskøbing", "Þórshöfn", "São Tomé – “x”…", "Việt", None, "東京"]
     assert one(to_ascii, texts, S) == [
