@@ -14,6 +14,8 @@ DAY_ZERO = datetime.date(1960, 1, 1)
 FIRST_DAY = (datetime.date.min - DAY_ZERO).days
 LAST_DAY = (datetime.date.max - DAY_ZERO).days
 
+EIGHT_DIGITS = r"\A[0-9]{8}\z"
+
 
 def sas_day_to_date(col, zero_is_null: bool = False) -> Column:
     """Days since 1960-01-01, possibly fractional, as a date.
@@ -40,7 +42,7 @@ def _reordered(text: Column) -> Column:
 def mdy_to_date(col) -> Column:
     """``MMDDYYYY`` text as a date; NULL for other text such as ``D/S``."""
     text = as_column(col)
-    return F.when(text.rlike(r"\A[0-9]{8}\z"), _reordered(text).try_cast("date"))
+    return F.when(text.rlike(EIGHT_DIGITS), _reordered(text).try_cast("date"))
 
 
 def mdy_to_iso(col, lenient: bool = False) -> Column:
@@ -52,4 +54,5 @@ def mdy_to_iso(col, lenient: bool = False) -> Column:
     text = as_column(col)
     if lenient:
         return F.when(text == "", text).otherwise(_reordered(text))
-    return mdy_to_date(text).cast("string")
+    # Reordered digits are the text of the date, if they are one.
+    return F.when(mdy_to_date(text).isNotNull(), _reordered(text))
