@@ -26,11 +26,12 @@ from landfall.operators import accepted, place_parts, redirect_codes, rejected,
 """)
 def sas_day_to_iso_text(spark, sf_dir):
     day = day_number("l_shipdate") + F.col("l_discount")
-    return table(spark, sf_dir, "lineitem").select(
+    lines = table(spark, sf_dir, "lineitem").withColumn("day", day)
+    return lines.select(
         "l_orderkey",
         "l_linenumber",
-        sas_day_to_iso(day).alias("iso_shipdate"),
-        sas_day_to_date(day).alias("ship_date"),
+        sas_day_to_iso("day").alias("iso_shipdate"),
+        sas_day_to_date("day").alias("ship_date"),
     )
 
 
@@ -43,11 +44,12 @@ def sas_day_to_iso_text(spark, sf_dir):
 """)
 def mmddyyyy_to_iso(spark, sf_dir):
     text = F.when(F.col("o_orderstatus") == "P", "D/S").otherwise(F.date_format("o_orderdate", "MMddyyyy"))
-    return table(spark, sf_dir, "orders").select(
+    orders = table(spark, sf_dir, "orders").withColumn("due", text)
+    return orders.select(
         "o_orderkey",
-        mdy_to_iso(text).alias("iso_orderdate"),
-        mdy_to_date(text).alias("order_date"),
-        mdy_to_iso(text, lenient=True).alias("reordered"),
+        mdy_to_iso("due").alias("iso_orderdate"),
+        mdy_to_date("due").alias("order_date"),
+        mdy_to_iso("due", lenient=True).alias("reordered"),
     )
 
 
@@ -72,8 +74,9 @@ def abbreviation_rules(spark, sf_dir):
 @query("select doc_id, text as repaired, text as untouched from documents")
 def mojibake_repair(spark, sf_dir):
     garbled = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
-    return table(spark, sf_dir, "documents").select(
-        "doc_id", repair_latin1(garbled).alias("repaired"), repair_latin1("text").alias("untouched")
+    documents = table(spark, sf_dir, "documents").withColumn("garbled", garbled)
+    return documents.select(
+        "doc_id", repair_latin1("garbled").alias("repaired"), repair_latin1("text").alias("untouched")
     )
 
 
