@@ -14,7 +14,7 @@ from landfall.operators import (
     require_not_null,
     union_sources,
 )
-from landfall.sources import literal_table
+from landfall.sources import literal_table, modes, visas
 
 STATUS = [("F", "Finished"), ("O", "Open")]
 
@@ -31,6 +31,31 @@ def lookup_left_label(spark, sf_dir):
     )
 
 
+@query("""
+    select l_orderkey, l_linenumber,
+           case l_linenumber when 1 then 'Air' when 2 then 'Sea' when 3 then 'Land' end as i94_mode
+    from lineitem
+""")
+def mode_lookup(spark, sf_dir):
+    """A code held as double against the table of modes."""
+    lines = table(spark, sf_dir, "lineitem").withColumn("mode", F.col("l_linenumber").cast("double"))
+    labelled = add_label(lines, "mode", F.broadcast(modes(spark)), "i94mode", "i94_mode")
+    return labelled.select("l_orderkey", "l_linenumber", "i94_mode")
+
+
+@query("""
+    select o_orderkey, case o_orderpriority[1] when '1' then 'Business' when '2' then 'Pleasure'
+                            when '3' then 'Student' end as i94_visa
+    from orders
+""")
+def visa_lookup(spark, sf_dir):
+    """A code held as text such as ``1.0`` against the table of visa categories."""
+    code = F.concat(F.col("o_orderpriority").substr(1, 1), F.lit(".0"))
+    orders = table(spark, sf_dir, "orders").withColumn("visa", code.try_cast("double").try_cast("int"))
+    labelled = add_label(orders, "visa", F.broadcast(visas(spark)), "i94visa", "i94_visa")
+    return labelled.select("o_orderkey", "i94_visa")
+
+
 @query("""
     select o_orderkey,
            case o_orderstatus when 'F' then 'Finished' when 'O' then 'Open' else o_orderstatus end as or_code,
