@@ -508,3 +508,17 @@ def near_duplicates(
     return sizes.join(found, sizes["id"] == found["node"], "left").select(
         F.col("id").alias(id_col), "n_shingles", F.coalesce("component", "id").alias("component_id")
     )
+
+
+def keep_one_of_each(
+    docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` that are not linked to a row of a smaller id.
+
+    Rows without an id or without words are all kept; of rows that repeat an id
+    all are kept or none.
+    """
+    found = near_duplicates(docs, n, num, den, id_col, text_col)
+    gone = found.filter(F.col("component_id") < F.col(id_col)).select(F.col(id_col).alias("_gone")).distinct()
+    gone = materialize(gone)
+    return docs.join(gone, docs[id_col].cast("long") == gone["_gone"], "left_anti")

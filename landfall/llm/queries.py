@@ -6,15 +6,29 @@ subpackage is present.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall.bindings.registry import Query, table
+from landfall.llm import bpe, chat, token_files, warc
+from landfall.llm.decontaminate import contamination
 from landfall.llm.jaccard_join import near_duplicates
+from landfall.llm.personal_data import personal_digests
+from landfall.llm.quality_classifier import quality_scores
+from landfall.llm.quality_rules import judged
+from landfall.llm.secrets import secret_digests
+from landfall.session import scratch_path
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_path() -> str:
+    return public_tokenizers.path(TOKENIZER)
+
 
 def query(sql: str | None = None):
     """Register a query under its function's name."""
@@ -28,7 +42,82 @@ def query(sql: str | None = None):
     return add
 
 
+@query()
+def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets, and parts of credentials that belong together."""
+    return secret_digests(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates by 3-word shingles at a similarity of 0.9."""
     return near_duplicates(table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+
+
+@query()
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules with limits from the quantiles of each language and source."""
+    return judged(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as formatted texts, and one that is full of control strings."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    odd = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(control).alias("text"),
+    )
+    return chat.chat_digests(rows.unionByName(odd))
+
+
+@query()
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written to WARC archives and read back."""
+    path = scratch_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.read_archives(spark, path)
+
+
+@query()
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated quality scores of all documents."""
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of byte-pair ids and of the text decoded from them."""
+    return bpe.round_trip_digests(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query()
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids written to ORC files in the order of documents, and read back."""
+    path = scratch_path(spark, "tokens")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_path())
+    return token_files.read_digests(spark, path)
+
+
+@query()
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data by strict patterns and a weakly supervised classifier."""
+    return personal_digests(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in documents."""
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    listed = F.array_join(F.array_sort(F.transform("item_ids", lambda i: i.cast("string"))), ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(listed.cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
