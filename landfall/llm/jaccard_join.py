@@ -426,7 +426,9 @@ def _with_sets(n: int):
 
 def _find(docs: DataFrame, tasks: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """Links within tasks, whose rows name a cluster, a part, a document, whether it is a query, and its label."""
-    rows = docs.join(tasks, "id").select("cluster", "part", "id", "query", "label", "text")
+    # The texts are far larger than the tasks at any size worth planning for, so
+    # the join is the same at every size.
+    rows = docs.join(tasks.hint("merge"), "id").select("cluster", "part", "id", "query", "label", "text")
     fields = "cluster long, part long, id long, query boolean, label long, bits binary"
     rows = rows.mapInArrow(_with_sets(n), fields).repartition("cluster", "part")
     return rows.sortWithinPartitions("cluster", "part").mapInArrow(_searched(num, den), "a long, b long")
