@@ -10,8 +10,8 @@ A file's rows carry their sort slice and the number of ids before them in the
 slice; the slices' sums, one row each, turn these into places in the corpus.
 
 NULL is encoded as the empty text, which has the end id alone. Rows that repeat
-a document id stand next to each other in order of their texts; rows without an
-id come first.
+a document id stand next to each other in order of their texts' hashes; rows
+without an id come first.
 """
 
 from __future__ import annotations
@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 
 from landfall.llm.words import slices
 
-REMEMBERED_UNITS = 700_000
+# Pieces in each of two generations of a worker's memory, of some 200 bytes each.
+REMEMBERED_UNITS = 450_000
 
 # Rows per entry of the row index, and bytes of a stripe.
 ROW_INDEX_STRIDE = 1000
@@ -56,14 +57,13 @@ class _Library:
         self.mark_id, self.mark = next(iter(special.items()), (None, None))
         self.by_pieces = self.mark is not None and not any(" " in s for s in special.values())
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _learn(self, units: list[str]) -> None:
         """Encode many pieces in one call, between marks that are encoded on their own."""
-        if len(self.known) + len(units) > REMEMBERED_UNITS:
-            self.known.clear()
         plain = [u for u in units if "<" not in u]
         for k in range(0, len(plain), 2000):
             some = plain[k : k + 2000]
@@ -78,16 +78,31 @@ class _Library:
             if "<" in unit:
                 self.known[unit] = self.whole(f" {unit}")
 
+    def _prepare(self, units: set[str]) -> None:
+        """Have all units in ``known``, from the older generation or encoded anew.
+
+        When the younger generation is full it becomes the older one, so units that
+        keep coming are never encoded again and rare ones are forgotten.
+        """
+        new = units.difference(self.known)
+        if len(self.known) + len(new) > REMEMBERED_UNITS:
+            self.older, self.known = self.known, {}
+            new = units
+        missing = []
+        for unit in new:
+            ids = self.older.get(unit)
+            if ids is None:
+                missing.append(unit)
+            else:
+                self.known[unit] = ids
+        self._learn(missing)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids per text. A blank before a visible character always begins a new word."""
         if not self.by_pieces:
             return [self.whole(t) for t in texts]
         split = [None if _IRREGULAR.search(t) else t.split(" ") for t in texts]
-        new = {u for s in split if s for u in s[1:]}.difference(self.known)
-        if new:
-            if len(self.known) + len(new) > REMEMBERED_UNITS:
-                new.update(u for s in split if s for u in s[1:])
-            self._learn(list(new))
+        self._prepare({u for s in split if s for u in s[1:]})
         known, out = self.known, []
         for text, units in zip(texts, split, strict=True):
             if units is None:
@@ -125,7 +140,7 @@ def token_rows(docs: DataFrame, path: str, end_id: int = 0) -> DataFrame:
                 )
                 before += int(at[-1])
 
-    return docs.select("doc_id", F.col("text").cast("string")).orderBy("doc_id", "text").mapInArrow(rows, FIELDS)
+    return docs.select("doc_id", F.col("text").cast("string")).orderBy("doc_id", F.xxhash64("text")).mapInArrow(rows, FIELDS)
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0) -> None:
