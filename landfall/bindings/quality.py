@@ -3,7 +3,15 @@
 from pyspark.sql import functions as F
 
 from landfall.bindings.registry import query, table
-from landfall.operators import check_non_empty, check_unique, match_rate, profile, reconcile, union_sources
+from landfall.operators import (
+    check_non_empty,
+    check_unique,
+    match_rate,
+    profile,
+    reconcile,
+    reconcile_filters,
+    union_sources,
+)
 
 TABLES = (
     "region",
@@ -56,8 +64,19 @@ def key_uniqueness(spark, sf_dir):
 """)
 def row_reconciliation(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
-    parts = [orders.filter(F.col("o_orderstatus") == status) for status in ("F", "O", "P")]
-    return reconcile(parts, orders, "orders by status")
+    return reconcile_filters(orders, [F.col("o_orderstatus") == status for status in ("F", "O", "P")], "orders by status")
+
+
+@query("""
+    select 'reconcile' as "check", 'customers and suppliers' as target,
+           (select count(*) from customer) as measured,
+           (select count(*) from supplier) + (select count(*) from nation) as expected,
+           (select count(*) from customer) = (select count(*) from supplier) + (select count(*) from nation) as passed
+""")
+def table_reconciliation(spark, sf_dir):
+    """Parts that are tables of their own."""
+    parts = [table(spark, sf_dir, name) for name in ("supplier", "nation")]
+    return reconcile(parts, table(spark, sf_dir, "customer"), "customers and suppliers")
 
 
 @query("""

@@ -65,19 +65,20 @@ def month_overwrite(spark, sf_dir):
 
 @query("""
     select cast(year(o_orderdate) as integer) as yr, cast(month(o_orderdate) as integer) as mon, count(*) as orders,
-           count(case when o_custkey < 0 then 1 end) as corrected
+           count(case when month(o_orderdate) > 6 then 1 end) as corrected
     from orders group by all
 """)
 def month_append(spark, sf_dir):
-    """The months of each half-year arrive in turn, the second ones twice."""
+    """The months of each half-year arrive in turn, the second ones twice, at last with corrected prices."""
     keys = ["yr", "mon"]
     path = scratch_path(spark, "arriving")
     orders = _monthly_orders(spark, sf_dir)
-    for half in (F.col("mon") <= 6, F.col("mon") > 6, F.col("mon") > 6):
-        write_months(orders.filter(half), path, keys)
+    corrected = orders.withColumn("o_totalprice", -F.col("o_totalprice"))
+    for arriving in (orders.filter("mon <= 6"), orders.filter("mon > 6"), corrected.filter("mon > 6")):
+        write_months(arriving, path, keys)
     stored = read_table(spark, path, _MONTHLY)
     return stored.groupBy("yr", "mon").agg(
-        F.count(F.lit(1)).alias("orders"), F.count_if(F.col("o_custkey") < 0).alias("corrected")
+        F.count(F.lit(1)).alias("orders"), F.count_if(F.col("o_totalprice") < 0).alias("corrected")
     )
 
 
@@ -102,46 +103,93 @@ def label_text_scan(spark, sf_dir):
     return project(entries, ["code", "label"], {"code": "bigint"})
 
 
-@query("""
-    select cast(l_orderkey as double) as cicid, cast(o_custkey as double) as admnum,
-           case when l_tax > 0 then 'P' || l_suppkey end as i94port,
-           case when l_returnflag = 'R' then 'D/S' else strftime(o_orderdate, '%m%d%Y') end as dtaddto
-    from lineitem join orders on l_orderkey = o_orderkey
+_NO_TEXT = ", ".join(
+    f"cast(null as varchar) as {name}"
+    for name in ("dtadfile", "visapost", "occup", "entdepa", "entdepd", "entdepu", "matflag")
+)
+
+
+@query(f"""
+    select cast(l_orderkey as double) as cicid, cast(year(l_shipdate) as double) as i94yr,
+           cast(month(l_shipdate) as double) as i94mon, cast(c_nationkey as double) as i94cit,
+           cast(c_nationkey as double) as i94res, case when l_tax > 0 then 'P' || l_suppkey end as i94port,
+           cast(date_diff('day', date '1960-01-01', cast(l_shipdate as date)) as double) + l_discount as arrdate,
+           cast(l_linenumber as double) as i94mode, c_mktsegment[1:2] as i94addr,
+           case when l_linestatus = 'F'
+                then cast(date_diff('day', date '1960-01-01', cast(l_shipdate as date)) as double) + l_quantity
+           end as depdate,
+           l_quantity as i94bir, cast(o_orderpriority[1] as double) as i94visa, {_NO_TEXT},
+           year(o_orderdate) - l_quantity as biryear,
+           case when l_returnflag = 'R' then 'D/S' else strftime(o_orderdate, '%m%d%Y') end as dtaddto,
+           l_linestatus as gender, cast(l_partkey as varchar) as insnum, c_mktsegment as airline,
+           cast(o_custkey as double) as admnum, cast(l_linenumber as varchar) as fltno, o_orderstatus as visatype
+    from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey
 """)
 def arrivals_ingest(spark, sf_dir):
-    """The raw extract as delivered in CSV, landed as Parquet, read under its contract."""
+    """The raw extract as delivered in CSV, landed as Parquet, read under its contract: all 27 columns."""
     delivered, landed = scratch_path(spark, "extract"), scratch_path(spark, "landed")
     write_csv(adapters.raw_arrivals(spark, sf_dir), delivered)
     land(read_arrivals(spark, delivered, fmt="csv"), landed)
-    return read_arrivals(spark, landed).select("cicid", "admnum", "i94port", "dtaddto")
+    return read_arrivals(spark, landed)
 
 
-@query("select s_suppkey, s_name, s_nationkey, case when s_acctbal > 0 then s_acctbal end as s_acctbal from supplier")
+@query("""
+    select s_suppkey, s_nationkey, case when s_acctbal > 0 then s_acctbal end as s_acctbal,
+           case s_suppkey % 6 when 0 then null when 1 then '' when 2 then s_name || '|"' || s_name || '"'
+                when 3 then s_name || chr(10) || '  second line ' when 4 then chr(13) || chr(10) || ',' else s_name end as s_name
+    from supplier
+""")
 def csv_roundtrip(spark, sf_dir):
+    """NULL, empty text, quotes, separators, blanks and line breaks come back as they were."""
     path = scratch_path(spark, "suppliers")
-    suppliers = table(spark, sf_dir, "supplier").withColumn(
-        "s_acctbal", F.when(F.col("s_acctbal") > 0, F.col("s_acctbal"))
+    name, case = F.col("s_name"), F.col("s_suppkey") % 6
+    odd = (
+        F.when(case == 0, None)
+        .when(case == 1, "")
+        .when(case == 2, F.concat(name, F.lit('|"'), name, F.lit('"')))
+        .when(case == 3, F.concat(name, F.lit("\n  second line ")))
+        .when(case == 4, F.lit("\r\n,"))
+        .otherwise(name)
     )
-    write_csv(suppliers, path, sep="|")
-    return read_csv(spark, path, suppliers.schema, sep="|")
+    balance = F.when(F.col("s_acctbal") > 0, F.col("s_acctbal"))
+    suppliers = table(spark, sf_dir, "supplier").withColumns({"s_name": odd, "s_acctbal": balance})
+    write_csv(suppliers, path, sep="|", multi_line=True)
+    return read_csv(spark, path, suppliers.schema, sep="|", multi_line=True)
 
 
-@query("select doc_id, regexp_replace(text, '[\\r\\n]', ' ', 'g') as text, source from documents")
+@query("""
+    select 'rejected' as kind, count(*) as n from supplier where s_suppkey % 7 = 0
+    union all
+    select 'read', count(*) from supplier where s_suppkey % 7 <> 0
+""")
+def rejected_csv_lines(spark, sf_dir):
+    """Lines with a balance that is no number are kept apart and counted."""
+    path = scratch_path(spark, "damaged")
+    balance = F.when(F.col("s_suppkey") % 7 == 0, F.lit("n/a")).otherwise(F.col("s_acctbal").cast("string"))
+    write_csv(table(spark, sf_dir, "supplier").withColumn("s_acctbal", balance), path)
+    schema = "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double"
+    landed = land(read_csv(spark, path, schema, rejects="reject"), scratch_path(spark, "landed"))
+    kind = F.when(F.col("reject").isNotNull(), "rejected").otherwise("read")
+    return landed.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("select * from documents")
 def latin1_csv_roundtrip(spark, sf_dir):
+    """Whole texts with their line breaks, in an encoding of one byte per character."""
     path = scratch_path(spark, "latin1")
-    documents = table(spark, sf_dir, "documents").select(
-        "doc_id", F.regexp_replace("text", r"[\r\n]", " ").alias("text"), "source"
-    )
-    write_csv(documents, path, sep="|", encoding="ISO-8859-1")
-    return read_csv(spark, f"{path}/*.csv", documents.schema, sep="|", encoding="ISO-8859-1", maxCharsPerColumn=-1)
+    documents = table(spark, sf_dir, "documents")
+    write_csv(documents, path, sep="|", encoding="ISO-8859-1", multi_line=True)
+    return read_csv(spark, f"{path}/*.csv", documents.schema, sep="|", encoding="ISO-8859-1", multi_line=True)
 
 
-@query("select c_custkey, c_nationkey, c_mktsegment from customer")
+@query("""
+    select cast(c_custkey as integer) as c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer
+""")
 def inferred_csv_scan(spark, sf_dir):
+    """Types as inferred: these ids fit an int."""
     path = scratch_path(spark, "inferred")
     write_csv(table(spark, sf_dir, "customer"), path, sep=";")
-    columns = {"c_custkey": "c_custkey", "c_nationkey": "c_nationkey", "c_mktsegment": "c_mktsegment"}
-    return project(read_csv(spark, path, sep=";", infer=True), columns, {"c_custkey": "bigint"})
+    return read_csv(spark, path, sep=";", infer=True)
 
 
 @query("select p_partkey, p_name, p_brand, p_type, p_size, p_retailprice from part")

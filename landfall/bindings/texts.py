@@ -85,10 +85,9 @@ def transliterate(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", to_ascii("text").alias("plain"))
 
 
-@query("select doc_id, contains(text, 'the ') as has_the from documents where contains(text, 'the ') or lang <> 'en'")
+@query("select doc_id, contains(text, 'the ') as has_the from documents")
 def contains_word(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").withColumn("has_the", contains_token("text", "the "))
-    return documents.filter(F.col("has_the") | (F.col("lang") != "en")).select("doc_id", "has_the")
+    return table(spark, sf_dir, "documents").select("doc_id", contains_token("text", "the ").alias("has_the"))
 
 
 @query("""
@@ -144,23 +143,31 @@ def label_rejects(spark, sf_dir):
 
 @query("""
     with labels as (
-        select cast(p_partkey as varchar) as code, p_partkey, p_name, p_type from part
+        select *, p_partkey % 50 in (48, 49) as turns from part
+    ), ends as (
+        select *, max(case when p_type <> 'PROMO' or turns then p_partkey end) over (order by p_partkey) as last from labels
     )
-    select a.code,
-           case when a.p_type = 'PROMO' then cast(a.p_partkey - 1 as varchar) else a.code end as target,
-           case when a.p_type = 'PROMO' then b.p_name else a.p_name end as label
-    from labels a left join labels b
-      on a.p_partkey - 1 = b.p_partkey and b.p_type not in ('PROMO', 'ECONOMY')
-    where a.p_type <> 'ECONOMY'
+    select cast(a.p_partkey as varchar) as code,
+           case when not coalesce(b.turns, false)
+                then cast(coalesce(a.last, (select min(p_partkey) - 1 from part)) as varchar) end as target,
+           case when not b.turns and b.p_type <> 'ECONOMY' then b.p_name end as label,
+           coalesce(b.turns, false) as circular
+    from ends a left join labels b on a.last = b.p_partkey
+    where a.p_type <> 'ECONOMY' or a.turns
 """)
 def collapsed_code_redirect(spark, sf_dir):
-    previous = (F.col("p_partkey") - 1).cast("string")
+    """Chains of collapsed codes; pairs that name each other go round for ever."""
+    turns = (F.col("p_partkey") % 50).isin(48, 49)
+    step = F.when(F.col("p_partkey") % 50 == 48, 1).otherwise(-1)
+    previous = (F.col("p_partkey") + step).cast("string")
     label = (
-        F.when(F.col("p_type") == "PROMO", F.concat(F.lit("Collapsed ("), previous, F.lit(") 06/15")))
+        F.when(turns | (F.col("p_type") == "PROMO"), F.concat(F.lit("Collapsed ("), previous, F.lit(") 06/15")))
         .when(F.col("p_type") == "ECONOMY", "No PORT Code (X)")
         .otherwise(F.col("p_name"))
     )
     entries = table(spark, sf_dir, "part").select(
         F.col("p_partkey").cast("string").alias("code"), label.alias("label")
     )
-    return redirect_codes(entries, "code", "label").select("code", "target", "label")
+    found = redirect_codes(entries, "code", "label")
+    target = F.when(~F.col("circular"), F.col("target"))
+    return found.select("code", target.alias("target"), "label", "circular")

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from landfall.bindings.adapters import cities
 from landfall.bindings.registry import query, table
 from landfall.functions import percent_of
-from landfall.operators import dense_rank_by, share_of_total, top_k
+from landfall.operators import dense_rank_by, last_k, share_of_total, top_k
+from landfall.session import materialize
 
 
 @query("""
@@ -51,9 +52,8 @@ def count_dense_rank(spark, sf_dir):
     from shares
 """)
 def share_of_state(spark, sf_dir):
-    shares = share_of_total(cities(spark, sf_dir), ["State", "Race"], ["State"], "Count", "percent")
-    # One value per state and group is ranked.
-    ranked = dense_rank_by(shares, ["Race"], "percent", "place", bounded=True)
+    shares = materialize(share_of_total(cities(spark, sf_dir), ["State", "Race"], ["State"], "Count", "percent"))
+    ranked = dense_rank_by(shares, ["Race"], "percent", "place")
     return ranked.select(
         F.col("City").alias("city"), F.col("State").alias("state"), F.col("Race").alias("race"), "percent", "place"
     )
@@ -67,3 +67,25 @@ def top_orders(spark, sf_dir):
     return top_k(table(spark, sf_dir, "orders"), 10, "o_totalprice", ["o_orderkey"]).select(
         "o_orderkey", "o_custkey", "o_totalprice"
     )
+
+
+@query("""
+    select o_orderkey, o_custkey, o_totalprice from orders
+    order by o_totalprice nulls last, o_orderkey limit 10
+""")
+def cheapest_orders(spark, sf_dir):
+    return top_k(table(spark, sf_dir, "orders"), 10, "o_totalprice", ["o_orderkey"], ascending=True).select(
+        "o_orderkey", "o_custkey", "o_totalprice"
+    )
+
+
+@query("""
+    select * from (
+        select o_orderkey, o_custkey, o_orderpriority from orders order by o_custkey desc, o_orderkey desc limit 12
+    ) order by o_custkey, o_orderkey
+""")
+def last_orders(spark, sf_dir):
+    """The tail of the orders in the order of customers."""
+    return last_k(table(spark, sf_dir, "orders"), 12, ["o_custkey", "o_orderkey"]).select(
+        "o_orderkey", "o_custkey", "o_orderpriority"
+    )

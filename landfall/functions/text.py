@@ -51,6 +51,8 @@ WITHOUT_BASE = {
     "\u00a0": " ",
 }
 
+COMBINING_MARKS = "".join(map(chr, range(0x0300, 0x0370)))
+
 OUTSIDE_LATIN1 = r"[^\x00-\xff]"
 # A character outside Latin-1, or one that would start a UTF-8 sequence and is
 # not followed by a continuation. In text that was right, the first letter with
@@ -142,10 +144,12 @@ def repair_latin1(col, lossy: bool = False, null_as_empty: bool = False) -> Colu
 def to_ascii(col, null_as_empty: bool = False) -> Column:
     """Latin letters with marks and typographic signs as plain ASCII.
 
+    Marks that are characters of their own (U+0300 to U+036F) are dropped.
     Characters of other scripts stay as they are.
     """
     text = as_column(col)
-    letters = F.translate(text, "".join(_ONE_TO_ONE), "".join(_ONE_TO_ONE.values()))
+    # Translation drops characters that have no counterpart.
+    letters = F.translate(text, "".join(_ONE_TO_ONE) + COMBINING_MARKS, "".join(_ONE_TO_ONE.values()))
     # Few texts still hold a letter that needs more than one character. The
     # one-element array lets both branches share the translated text.
     plain = F.get(F.transform(F.array(letters), _spell_out), 0)

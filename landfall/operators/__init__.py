@@ -4,6 +4,7 @@ from landfall.operators.counts import (
     count_by,
     distinct_count,
     global_count,
+    last_k,
     top_k,
     value_counts,
 )
@@ -11,20 +12,24 @@ from landfall.operators.dedupe import duplicate_keys, first_per_key
 from landfall.operators.labels import (
     accepted,
     flag_withdrawn,
+    follow_successors,
     place_parts,
     redirect_codes,
     rejected,
     split_dictionary,
+    successor,
 )
 from landfall.operators.lookup import add_label, conform, keep_valid_codes, require_not_null
 from landfall.operators.quality import (
     QualityError,
+    check_no_rejects,
     check_non_empty,
     check_unique,
     enforce,
     match_rate,
     profile,
     reconcile,
+    reconcile_filters,
 )
 from landfall.operators.ranks import attach, dense_rank_by, dense_ranks, share_of_total
 from landfall.operators.sets import append_members, project, union_sources
@@ -35,6 +40,7 @@ __all__ = [
     "add_label",
     "append_members",
     "attach",
+    "check_no_rejects",
     "check_non_empty",
     "check_unique",
     "conform",
@@ -46,18 +52,22 @@ __all__ = [
     "enforce",
     "first_per_key",
     "flag_withdrawn",
+    "follow_successors",
     "global_count",
     "keep_valid_codes",
+    "last_k",
     "match_rate",
     "place_parts",
     "profile",
     "project",
     "reconcile",
+    "reconcile_filters",
     "redirect_codes",
     "rejected",
     "require_not_null",
     "share_of_total",
     "split_dictionary",
+    "successor",
     "top_k",
     "union_sources",
     "value_counts",

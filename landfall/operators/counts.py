@@ -33,6 +33,15 @@ def distinct_count(df: DataFrame, cols: Sequence[str], name: str = "n", approxim
     return global_count(df.select(*cols).distinct(), name)
 
 
-def top_k(df: DataFrame, k: int, by: str, tiebreak: Sequence[str]) -> DataFrame:
-    """The k rows with the largest ``by``. The tie-break columns make the order total."""
-    return df.orderBy(F.desc_nulls_last(by), *tiebreak).limit(k)
+def top_k(df: DataFrame, k: int, by: str, tiebreak: Sequence[str], ascending: bool = False) -> DataFrame:
+    """The k rows with the largest ``by``, or the smallest, NULL last. The tie-break columns make the order total."""
+    order = F.asc_nulls_last(by) if ascending else F.desc_nulls_last(by)
+    return df.orderBy(order, *tiebreak).limit(k)
+
+
+def last_k(df: DataFrame, k: int, by: Sequence[str]) -> DataFrame:
+    """The last k rows in the order of ``by``, in that order.
+
+    Sorts the other way round, so each task keeps k rows only.
+    """
+    return df.orderBy(*[F.desc(c) for c in by]).limit(k).orderBy(*by)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landfall.functions.text import part_from_end, unquote
+from landfall.session import materialize
 
 EQUALS = r"\s*=\s*"
 
@@ -70,21 +71,55 @@ def rejected(entries: DataFrame) -> DataFrame:
     return entries.filter("problem is not null")
 
 
+def follow_successors(pairs: DataFrame, code: str = "code", target: str = "target") -> DataFrame:
+    """The last successor of each code, over any number of steps.
+
+    ``pairs`` names for each code the one that replaces it. The result has one row
+    per code: ``code``, ``target`` and ``circular``, true where the steps come back
+    to a code of their own and never end. Each round doubles the steps taken, so a
+    chain of n codes takes about log2(n) joins. Of several successors of a code the
+    smallest counts.
+    """
+    start = pairs.groupBy(code).agg(F.min(target).alias(target))
+    current = materialize(start)
+    for _ in range(max(1, current.count()).bit_length()):
+        after = current.select(F.col(code).alias("_code"), F.col(target).alias("_after"))
+        joined = current.join(after, current[target] == after["_code"], "left")
+        moved = materialize(joined.select(code, F.coalesce("_after", target).alias(target)))
+        if moved.exceptAll(current).isEmpty():
+            break
+        current = moved
+    # Whatever ends, has ended at a code without a successor by now.
+    replaced = start.select(F.col(code).alias("_code"))
+    found = current.join(replaced, current[target] == replaced["_code"], "left")
+    return found.select(code, target, F.col("_code").isNotNull().alias("circular"))
+
+
+def successor(label: str) -> Column:
+    """The code named by a label such as ``Collapsed (XXX)`` or ``Collapsed into XXX``, else NULL."""
+    return F.nullif(F.regexp_extract(label, COLLAPSED_INTO, 1), F.lit(""))
+
+
 def redirect_codes(entries: DataFrame, code: str, label: str) -> DataFrame:
     """Give a code whose label reads ``Collapsed (XXX)`` the label of code XXX.
 
-    ``Collapsed into XXX, ...`` means the same. Adds ``target``, the code whose label is used, and drops codes that are
-    withdrawn without a successor. A target that is itself collapsed or
-    unknown leaves the label NULL.
+    ``Collapsed into XXX, ...`` means the same, and XXX may be collapsed itself,
+    any number of times. Adds ``target``, the code whose label is used, and drops
+    codes that are withdrawn without a successor. A target that is unknown, or a
+    chain that never ends, leaves the label NULL; ``circular`` tells the latter.
     """
-    successor = F.regexp_extract(label, COLLAPSED_INTO, 1)
-    entries = entries.withColumn("target", F.when(successor != "", successor).otherwise(F.col(code)))
+    next_code = successor(label)
+    collapsed = entries.filter(next_code.isNotNull()).select(F.col(code).alias("_from"), next_code.alias("_to"))
+    last = follow_successors(collapsed, "_from", "_to")
     valid = entries.filter(~F.col(label).rlike(NO_CODE)).select(
         F.col(code).alias("_code"), F.col(label).alias("_label")
     )
-    kept = entries.filter((F.col("target") != F.col(code)) | ~F.col(label).rlike(NO_CODE))
+    kept = entries.filter(next_code.isNotNull() | ~F.col(label).rlike(NO_CODE))
+    moved = kept.join(last, kept[code] == last["_from"], "left").withColumns(
+        {"target": F.coalesce("_to", code), "circular": F.coalesce("circular", F.lit(False))}
+    )
     return (
-        kept.join(valid, kept["target"] == valid["_code"], "left")
+        moved.join(valid, F.col("target") == valid["_code"], "left")
         .withColumn(label, F.col("_label"))
-        .drop("_code", "_label")
+        .drop("_code", "_label", "_from", "_to")
     )

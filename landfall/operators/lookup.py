@@ -23,14 +23,21 @@ def add_label(
     label: str,
     name: str | None = None,
     default=None,
+    unique: bool = False,
 ) -> DataFrame:
-    """Left lookup of ``label`` by ``key``; unknown keys keep their row.
+    """Left lookup of ``label`` by ``key``; every row of ``df`` appears exactly once.
 
     ``default`` (a value, or a column such as the key itself) replaces the
-    label of unknown keys. A column of that name in ``df`` is replaced.
+    label of unknown keys. A column of that name in ``df`` is replaced. Of
+    several labels for a key the smallest is taken (see
+    :func:`landfall.operators.check_unique`); ``unique`` states that the table is
+    known to have one row per key, as literal tables do, and saves that step. As
+    a key has one label, a lookup whose label is not used costs nothing.
     """
     name = name or label
     lookup = table.select(F.col(table_key).alias("_key"), F.col(label).alias("_label"))
+    if not unique:
+        lookup = lookup.groupBy("_key").agg(F.min("_label").alias("_label"))
     found = F.col("_label")
     if default is not None:
         found = F.coalesce(found, default if isinstance(default, Column) else F.lit(default))

@@ -57,6 +57,24 @@ def reconcile(parts: Sequence[DataFrame], total: DataFrame, target: str) -> Data
     )
 
 
+def reconcile_filters(df: DataFrame, parts: Sequence[Column], target: str) -> DataFrame:
+    """Like :func:`reconcile` for parts that are filters of one table: a single pass over it.
+
+    A row that meets several filters counts for each.
+    """
+    taken = [F.count_if(part) for part in parts]
+    sums = df.agg(F.count(F.lit(1)).alias("_total"), reduce(lambda a, b: a + b, taken).alias("_parts"))
+    return sums.select(
+        *_result("reconcile", target, F.col("_total"), F.col("_parts"), F.col("_total") == F.col("_parts"))
+    )
+
+
+def check_no_rejects(df: DataFrame, rejects: str, target: str) -> DataFrame:
+    """Number of lines that a reader has kept in ``rejects``, which must be 0. Land raw files first."""
+    rows = df.agg(F.count(F.col(rejects)).alias("_rejects"))
+    return rows.select(*_result("no_rejects", target, F.col("_rejects"), F.lit(0), F.col("_rejects") == 0))
+
+
 def match_rate(df: DataFrame, dim: DataFrame, pairs: Mapping[str, str]) -> DataFrame:
     """How many rows of ``df`` have a partner in ``dim``: ``rows``, ``matched``, ``percent``.
 
@@ -80,30 +98,40 @@ def profile(df: DataFrame, distincts: str | None = None) -> DataFrame:
     """One row per column: position, name, type, rows, nulls and maybe distinct values.
 
     ``distincts`` is ``"approximate"`` (a sketch, in the same pass) or
-    ``"exact"`` (NULL not counted; shuffles the values of every column).
+    ``"exact"`` (NULL not counted). An exact count goes column by column, each
+    with a scan and a shuffle of that column's different values, so no row is
+    copied for every column.
     """
-    counters = {None: None, "approximate": F.approx_count_distinct, "exact": F.count_distinct}
-    counter = counters[distincts]
+    if distincts == "exact":
+        return union_sources(*[_exact_column(df, i, *pair) for i, pair in enumerate(df.dtypes)])
     aggregates = [F.count(F.lit(1)).alias("_rows")]
     for i, name in enumerate(df.columns):
         aggregates.append(F.count_if(F.col(f"`{name}`").isNull()).alias(f"_nulls{i}"))
-        if counter is not None:
-            aggregates.append(counter(F.col(f"`{name}`")).alias(f"_distinct{i}"))
+        if distincts is not None:
+            aggregates.append(F.approx_count_distinct(F.col(f"`{name}`")).alias(f"_distinct{i}"))
     entries = []
     for i, (name, dtype) in enumerate(df.dtypes):
-        entry = [
-            F.lit(i).alias("position"),
-            F.lit(name).alias("column"),
-            F.lit(dtype).alias("type"),
-            F.col("_rows").alias("rows"),
-            F.col(f"_nulls{i}").alias("nulls"),
-        ]
-        if counter is not None:
+        entry = [*_column_name(i, name, dtype), F.col("_rows").alias("rows"), F.col(f"_nulls{i}").alias("nulls")]
+        if distincts is not None:
             entry.append(F.col(f"_distinct{i}").alias("distinct_values"))
         entries.append(F.struct(*entry))
     return df.agg(*aggregates).select(F.inline(F.array(*entries)))
 
 
+def _column_name(i: int, name: str, dtype: str) -> list[Column]:
+    return [F.lit(i).alias("position"), F.lit(name).alias("column"), F.lit(dtype).alias("type")]
+
+
+def _exact_column(df: DataFrame, i: int, name: str, dtype: str) -> DataFrame:
+    values = df.groupBy(F.col(f"`{name}`").alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
+    totals = values.agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(F.when(F.col("_value").isNull(), F.col("_rows"))), F.lit(0)).alias("nulls"),
+        F.count("_value").alias("distinct_values"),
+    )
+    return totals.select(*_column_name(i, name, dtype), "rows", "nulls", "distinct_values")
+
+
 def enforce(checks: DataFrame) -> None:
     """Run checks, one row each, and raise on the ones that fail."""
     failures = checks.filter(~F.coalesce("passed", F.lit(False))).collect()

@@ -1,7 +1,7 @@
 """Dense ranks and shares within groups.
 
 Groups such as "all cities, by ethnic group" are few and large. Neither
-operator gathers such a group in one task unless the caller states a bound.
+operator gathers such a group in one task.
 """
 
 from __future__ import annotations
@@ -24,52 +24,40 @@ def attach(df: DataFrame, keyed: DataFrame, cols: Sequence[str], name: str) -> D
     return joined.withColumn(name, F.col("_new")).drop("_new", *[f"_{c}" for c in cols])
 
 
-def dense_rank_by(df: DataFrame, group: Sequence[str], by: str, name: str, bounded: bool = False) -> DataFrame:
+def dense_rank_by(df: DataFrame, group: Sequence[str], by: str, name: str) -> DataFrame:
     """Dense rank within ``group`` by descending ``by``, NULL last, as ``bigint``.
 
     Equal values share a rank, so the different values are ranked by
-    :func:`dense_ranks` and the rank is joined back.
+    :func:`dense_ranks` and the rank is joined back. Reads ``df`` twice.
     """
-    return attach(df, dense_ranks(df, group, by, name, bounded), [*group, by], name)
+    return attach(df, dense_ranks(df, group, by, name), [*group, by], name)
 
 
-def dense_ranks(df: DataFrame, group: Sequence[str], by: str, name: str, bounded: bool = False) -> DataFrame:
+def dense_ranks(df: DataFrame, group: Sequence[str], by: str, name: str) -> DataFrame:
     """The different values of each group with their dense rank.
 
-    The values are sorted across the cluster, their positions are counted per
-    sort slice, and a rank is the distance from the first position of the group.
-
-    ``bounded`` states that a group holds few different values, whatever the
-    number of rows; then one task per group ranks them.
+    The values are sorted across the cluster. Within a sort slice a rank counts
+    from the first position of the group there, and the group's values in earlier
+    slices are added. Writes the sorted values to the shared folder, so their
+    places stay the same even if a lost executor is replaced; this starts while
+    the plan is made.
     """
     group = list(group)
     values = df.select(*group, by).distinct()
-    if bounded:
-        order = Window.partitionBy(*group).orderBy(F.desc_nulls_last(by))
-        return values.withColumn(name, F.dense_rank().over(order).cast("bigint"))
-    return _rank_sorted(values, group, by, name)
-
-
-def _rank_sorted(values: DataFrame, group: list[str], by: str, name: str) -> DataFrame:
     ordered = values.orderBy(*group, F.desc_nulls_last(by)).withColumn("_id", F.monotonically_increasing_id())
-    # The ids hold the sort slice in the upper bits. They must not change
-    # between the two reads below, even if a lost executor is replaced.
+    # The ids hold the sort slice in the upper bits.
     ordered = materialize(ordered).select(
         *group,
         by,
         F.shiftright("_id", 33).alias("_slice"),
         F.col("_id").bitwiseAND((1 << 33) - 1).alias("_offset"),
     )
-    # One row per sort slice, so this window is as small as the partition count.
-    slices = ordered.groupBy("_slice").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = slices.select("_slice", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-    positions = ordered.join(F.broadcast(starts), "_slice").select(
-        *group, by, (F.col("_start") + F.col("_offset")).alias("_position")
-    )
-    firsts = positions.groupBy(*group).agg(F.min("_position").alias("_first"))
-    return attach(positions, firsts, group, "_first").select(
-        *group, by, (F.col("_position") - F.col("_first") + 1).alias(name)
+    pieces = ordered.groupBy("_slice", *group).agg(F.count(F.lit(1)).alias("_size"), F.min("_offset").alias("_first"))
+    # A group has one row per sort slice here.
+    before = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0)) - F.col("_first"))
+    return attach(ordered, pieces, ["_slice", *group], "_before").select(
+        *group, by, (F.col("_before") + F.col("_offset") + 1).alias(name)
     )
 
 
@@ -83,9 +71,11 @@ def share_of_total(
     """Sum of ``value`` over ``part`` as a percentage of its sum over ``whole``.
 
     ``whole`` is a subset of ``part``. The sums are aggregates joined back, not
-    windows: rows of a large whole stay spread over the cluster.
+    windows: rows of a large whole stay spread over the cluster. The input and
+    the sums are written to the shared folder, since each is used twice.
     """
-    parts = df.groupBy(*part).agg(F.sum(value).alias("_sum"))
+    df = materialize(df)
+    parts = materialize(df.groupBy(*part).agg(F.sum(value).alias("_sum")))
     wholes = parts.groupBy(*whole).agg(F.sum("_sum").alias("_total"))
     shares = attach(parts, wholes, list(whole), "_total").withColumn(name, percent_of("_sum", "_total"))
     return attach(df, shares, list(part), name)

@@ -21,7 +21,16 @@ from landfall.plans.dictionaries import (
 )
 from landfall.plans.dimensions import build_airports, build_city_demo, city_shares, clean_airports
 from landfall.plans.fact import build_fact
-from landfall.plans.jobs import run_dimensions, run_fact
+from landfall.plans.jobs import (
+    fact_checks,
+    run_addresses,
+    run_airport_source,
+    run_city_list,
+    run_countries,
+    run_dimensions,
+    run_fact,
+    run_ports,
+)
 
 __all__ = [
     "UNKNOWN_PORTS",
@@ -37,12 +46,18 @@ __all__ = [
     "city_list",
     "city_shares",
     "clean_airports",
+    "fact_checks",
     "month_keys",
     "parse_abroad_ports",
     "parse_us_ports",
     "port_preference",
+    "run_addresses",
+    "run_airport_source",
+    "run_city_list",
+    "run_countries",
     "run_dimensions",
     "run_fact",
+    "run_ports",
     "top_ports",
     "traffic",
     "visitor_ports",

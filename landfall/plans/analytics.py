@@ -21,14 +21,14 @@ from landfall.operators import (
     top_k,
     union_sources,
 )
+from landfall.session import materialize
 
 
-def _in_month(fact: DataFrame, year: int | None, month: int | None) -> DataFrame:
-    """Restrict to a year or month, which prunes the fact's partitions."""
-    if year is not None:
-        fact = fact.filter(F.col("i94yr") == year)
-    if month is not None:
-        fact = fact.filter(F.col("i94mon") == month)
+def _in_part(fact: DataFrame, year: int | None, month: int | None, port: str | None) -> DataFrame:
+    """Restrict to a year, month or port of entry, which prunes the fact's partitions."""
+    for name, value in (("i94yr", year), ("i94mon", month), ("i94port", port)):
+        if value is not None:
+            fact = fact.filter(F.col(name) == value)
     return fact
 
 
@@ -46,6 +46,7 @@ def visitor_ports(
     visa: str = "Student",
     year: int | None = None,
     month: int | None = None,
+    port: str | None = None,
     name: str = "students_count",
 ) -> DataFrame:
     """Different visitors of one visa category and continent, per port of entry.
@@ -53,7 +54,7 @@ def visitor_ports(
     A visitor with several records counts once, at the port of the first
     record (by record number, then port).
     """
-    rows = _in_month(fact, year, month).filter(F.col("i94_visa") == visa)
+    rows = _in_part(fact, year, month, port).filter(F.col("i94_visa") == visa)
     rows = rows.select("cicid", "admnum", "i94port", "i94cit")
     rows = arrivals_with_country(rows, countries, continent)
     visitors = first_per_key(rows, ["admnum"], ["cicid", "i94port"])
@@ -77,20 +78,20 @@ def port_preference(
     k: int = 10,
     year: int | None = None,
     month: int | None = None,
-    bounded: bool = False,
+    port: str | None = None,
 ) -> DataFrame:
     """Where visitors of a continent enter, next to that city's population of a group.
 
     The rank is over the ports in ``city_demo``, by number of people. Ranks are
-    within a group, so only the group asked for is ranked; ``bounded`` is as in
-    :func:`landfall.operators.dense_ranks`.
+    within a group, so only the group asked for is ranked.
     """
-    counts = visitor_ports(fact, countries, continent, visa, year, month)
+    counts = visitor_ports(fact, countries, continent, visa, year, month, port)
     people = city_demo.filter(F.col("Race") == race).select("code", "Race", "Count", "Race_percent_by_city")
-    ranks = dense_ranks(people, ["Race"], "Count", "Race_rank_by_city", bounded)
+    ranks = dense_ranks(people, ["Race"], "Count", "Race_rank_by_city")
     people = people.withColumnRenamed("code", "demo_code")
     placed = conform(counts, ports, {"i94port": "code"})
     described = conform(placed, people, {"i94port": "demo_code"})
+    # The result's columns.
     chosen = described.select(
         "i94port",
         "students_count",
@@ -114,9 +115,10 @@ def traffic(
     k: int | None = None,
     year: int | None = None,
     month: int | None = None,
+    port: str | None = None,
 ) -> DataFrame:
     """Arrivals per airport, city (``locality``) or state (``province``) of the ports table."""
-    per_port = count_by(_in_month(fact, year, month), ["i94port"], "_arrivals")
+    per_port = count_by(_in_part(fact, year, month, port), ["i94port"], "_arrivals")
     placed = conform(per_port, ports, {"i94port": "code"})
     totals = placed.groupBy(*level).agg(F.sum("_arrivals").alias("arrivals"))
     return totals if k is None else top_k(totals, k, "arrivals", level)
@@ -128,9 +130,10 @@ def carrier_preference(
     k: int | None = None,
     year: int | None = None,
     month: int | None = None,
+    port: str | None = None,
 ) -> DataFrame:
     """Arrivals per airline, or per airline within other columns."""
-    counts = count_by(require_not_null(_in_month(fact, year, month), ["airline"]), by, "arrivals")
+    counts = count_by(require_not_null(_in_part(fact, year, month, port), ["airline"]), by, "arrivals")
     return counts if k is None else top_k(counts, k, "arrivals", by)
 
 
@@ -138,21 +141,21 @@ def month_keys(months: Mapping[str, DataFrame], keys: Sequence[str] = ("cicid",
     """Rows and different keys per month and over all months together.
 
     One row per month and key, and one per key for ``all``; NULL is a key too.
+    Each month is read once, whatever the number of keys; the counts per value,
+    which both reports need, are written to the shared folder.
     """
-    tagged = union_sources(*[df.select(F.lit(name).alias("month"), *keys) for name, df in months.items()])
-    reports = []
-    for key in keys:
-        counts = count_by(tagged, [key, "month"], "_rows")
-        # Rolls the months up without going back to the records.
-        anywhere = counts.groupBy(key).agg(F.sum("_rows").alias("_rows")).withColumn("month", F.lit("all"))
-        for part in (counts, anywhere):
-            reports.append(
-                part.groupBy("month").agg(
-                    F.sum("_rows").alias("rows"),
-                    F.count(F.lit(1)).alias("different"),
-                    F.count_if(F.col("_rows") > 1).alias("repeated"),
-                ).select("month", F.lit(key).alias("key"), "rows", "different", "repeated")
-            )
+    named = F.array(*[F.struct(F.lit(key).alias("key"), F.col(key).cast("string").alias("value")) for key in keys])
+    tagged = union_sources(*[df.select(F.lit(name).alias("month"), F.inline(named)) for name, df in months.items()])
+    counts = materialize(count_by(tagged, ["key", "value", "month"], "_rows"))
+    anywhere = counts.groupBy("key", "value").agg(F.sum("_rows").alias("_rows")).withColumn("month", F.lit("all"))
+    reports = [
+        part.groupBy("month", "key").agg(
+            F.sum("_rows").alias("rows"),
+            F.count(F.lit(1)).alias("different"),
+            F.count_if(F.col("_rows") > 1).alias("repeated"),
+        )
+        for part in (counts, anywhere)
+    ]
     return union_sources(*reports)
 
 

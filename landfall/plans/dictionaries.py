@@ -13,10 +13,12 @@ from landfall.operators import (
     add_label,
     append_members,
     flag_withdrawn,
+    follow_successors,
     place_parts,
     project,
     rejected,
     split_dictionary,
+    successor,
     union_sources,
 )
 
@@ -63,12 +65,27 @@ def build_ports(
     states: DataFrame,
     unknown: Sequence[tuple] = UNKNOWN_PORTS,
 ) -> tuple[DataFrame, DataFrame]:
-    """The ports dimension, and the lines to look at with the reason."""
+    """The ports dimension, and the lines to look at with the reason.
+
+    A code collapsed into another one, directly or over others, gets the place of
+    the last. Codes withdrawn without a successor are left to look at, and so are
+    those whose successor is unknown or leads back to itself.
+    """
     us = parse_us_ports(us_lines, states)
     abroad = parse_abroad_ports(abroad_lines)
     ports = union_sources(*[project(accepted(part), PORT_COLUMNS) for part in (abroad, us)])
-    problems = union_sources(*[rejected(part).select("value", "problem") for part in (abroad, us)])
-    return append_members(ports, unknown), problems
+    problems = union_sources(*[rejected(part).select("value", "code", "label", "problem") for part in (abroad, us)])
+    problems = problems.withColumn("_next", F.when(F.col("problem") == "withdrawn", successor("label")))
+    moved = problems.filter("_next is not null")
+    last = follow_successors(moved.select("code", F.col("_next").alias("target")))
+    place = ports.withColumnRenamed("code", "_target").dropDuplicates(["_target"])
+    placed = last.join(place, last["target"] == place["_target"], "left")
+    collapsed = placed.filter("_target is not null").select(*PORT_COLUMNS)
+    lost = placed.filter("_target is null").select(F.col("code").alias("_lost"), "circular")
+    reason = F.when(F.col("circular"), "successors in a circle").otherwise("unknown successor")
+    unplaced = moved.join(lost, moved["code"] == lost["_lost"]).select("value", reason.alias("problem"))
+    others = problems.filter("_next is null").select("value", "problem")
+    return append_members(union_sources(ports, collapsed), unknown), union_sources(others, unplaced)
 
 
 def build_port_codes(ports: DataFrame) -> DataFrame:

@@ -76,13 +76,12 @@ def city_shares(cities: DataFrame, ports: DataFrame) -> DataFrame:
     return project(conform(shares, ports, {"City": "locality", "State": "province"}), columns)
 
 
-def build_city_demo(cities: DataFrame, ports: DataFrame, bounded: bool = False) -> DataFrame:
+def build_city_demo(cities: DataFrame, ports: DataFrame) -> DataFrame:
     """Cities with a port: demographics, share of each group and its rank over all cities.
 
     The rank counts cities without a port too. A city with several ports
     appears once per port and group, hence the key is (``code``, ``Race``).
-    For ``bounded`` see :func:`landfall.operators.dense_rank_by`.
     """
     shares = cities.withColumn("Race_percent_by_city", percent_of("Count", "Total Population"))
-    ranked = dense_rank_by(shares, ["Race"], "Race_percent_by_city", "Race_rank_by_city", bounded)
+    ranked = dense_rank_by(shares, ["Race"], "Race_percent_by_city", "Race_rank_by_city")
     return project(conform(ranked, ports, {"City": "locality", "State": "province"}), CITY_COLUMNS)

@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from landfall import schemas
 from landfall.operators import check_non_empty, check_unique, enforce, union_sources
-from landfall.plans.dimensions import build_airports, build_city_demo
+from landfall.plans.analytics import city_list
+from landfall.plans.dictionaries import build_addresses, build_countries, build_port_codes, build_ports
+from landfall.plans.dimensions import build_airports, build_city_demo, clean_airports
 from landfall.plans.fact import build_fact
-from landfall.sources import locate, read_arrivals, read_csv, read_table, write_months, write_table
+from landfall.session import materialize
+from landfall.sources import (
+    locate,
+    read_arrivals,
+    read_csv,
+    read_labels,
+    read_table,
+    states,
+    write_csv,
+    write_months,
+    write_table,
+)
 
 
 def run_fact(
@@ -18,12 +32,32 @@ def run_fact(
     lake_path: str,
     fmt: str = "parquet",
 ) -> None:
-    """Build and store the months of an extract, then check the stored table."""
+    """Build and store the months of an extract, then check what this load has stored.
+
+    The months are those of the extract, so an extract without rows fails even
+    if earlier months are stored. Record numbers must differ within a month.
+    """
     raw = read_arrivals(spark, extract_path, fmt)
     addresses = read_csv(spark, addresses_path, schemas.ADDRESSES)
     target = locate(lake_path, "I94_data")
+    months = raw.filter("i94port is not null").select(
+        F.col("i94yr").cast("int").alias("i94yr"), F.col("i94mon").cast("int").alias("i94mon")
+    )
+    loaded = [(r.i94yr, r.i94mon) for r in months.distinct().collect()]  # a few months
     write_months(build_fact(raw, addresses), target)
-    enforce(check_non_empty({"I94_data": read_table(spark, target, schemas.FACT)}))
+    enforce(fact_checks(read_table(spark, target, schemas.FACT) if loaded else build_fact(raw, addresses), loaded))
+
+
+def fact_checks(fact: DataFrame, months: list[tuple[int, int]]) -> DataFrame:
+    """Rows and different record numbers of each month of a load; a load without months fails."""
+    if not months:
+        return check_non_empty({"I94_data": fact.limit(0)})
+    checks = []
+    for year, month in sorted(months):
+        rows = fact.filter((F.col("i94yr") == year) & (F.col("i94mon") == month))
+        name = f"I94_data {year}-{month:02d}"
+        checks += [check_non_empty({name: rows}), check_unique(rows, ["cicid"], name)]
+    return union_sources(*checks)
 
 
 def run_dimensions(
@@ -45,5 +79,54 @@ def run_dimensions(
         union_sources(
             check_non_empty(stored),
             check_unique(stored["airports"], ["ident", "code"], "airports"),
+            check_unique(stored["cities_demo"], ["code", "Race"], "cities_demo"),
         )
     )
+
+
+def run_ports(spark: SparkSession, us_path: str, abroad_path: str, clean_path: str) -> DataFrame:
+    """Ports and their codes from label files, as CSV; returns the lines to look at."""
+    ports, problems = build_ports(read_labels(spark, us_path), read_labels(spark, abroad_path), states(spark))
+    ports = materialize(ports)  # written twice
+    write_csv(ports, locate(clean_path, "ports"))
+    write_csv(build_port_codes(ports), locate(clean_path, "port_codes"))
+    stored = read_csv(spark, locate(clean_path, "ports"), schemas.PORTS)
+    enforce(union_sources(check_non_empty({"ports": stored}), check_unique(stored, ["code"], "ports")))
+    return problems
+
+
+def run_countries(spark: SparkSession, lines_path: str, clean_path: str) -> None:
+    """The countries dictionary from a label file, as CSV."""
+    _store(spark, build_countries(read_labels(spark, lines_path)), clean_path, "countries", schemas.COUNTRIES, "cit_res_code")
+
+
+def run_addresses(spark: SparkSession, lines_path: str, clean_path: str) -> None:
+    """The addresses dictionary from a label file, as CSV."""
+    _store(spark, build_addresses(read_labels(spark, lines_path)), clean_path, "addresses", schemas.ADDRESSES, "i94addr")
+
+
+def _store(spark: SparkSession, df: DataFrame, clean_path: str, name: str, schema: str, key: str) -> None:
+    path = locate(clean_path, name)
+    write_csv(df, path)
+    stored = read_csv(spark, path, schema)
+    enforce(union_sources(check_non_empty({name: stored}), check_unique(stored, [key], name)))
+
+
+def run_airport_source(
+    spark: SparkSession, raw_path: str, countries: DataFrame, subdivisions: DataFrame, clean_path: str
+) -> None:
+    """The cleaned airports from the raw CSV, as Parquet and as CSV separated by bars."""
+    cleaned = clean_airports(read_csv(spark, raw_path, schemas.RAW_AIRPORTS), countries, subdivisions)
+    target = locate(clean_path, "airports")
+    write_table(cleaned, target)
+    stored = read_table(spark, target, schemas.CLEAN_AIRPORTS)
+    write_csv(stored, locate(clean_path, "airports_csv"), sep="|")
+    enforce(check_non_empty({"airports": stored}))
+
+
+def run_city_list(spark: SparkSession, cities_path: str, clean_path: str) -> None:
+    """The different cities of the demographics file, as CSV."""
+    cities = city_list(read_csv(spark, cities_path, schemas.RAW_CITIES, sep=";"))
+    path = locate(clean_path, "cities")
+    write_csv(cities, path)
+    enforce(check_non_empty({"cities": read_csv(spark, path, "City string, State string")}))

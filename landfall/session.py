@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections import defaultdict
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,17 +21,23 @@ SETTINGS = {
 }
 
 PARTITION_BYTES = 256 * 1024**2
-MAX_PARTITIONS = 50_000
 
+# Folders made for sessions on this machine that name none, and all scratch
+# paths handed out, per application.
+_LOCAL_FOLDERS: dict[str, str] = {}
+_SCRATCH: dict[str, list[str]] = defaultdict(list)
 
-def cluster_settings(shuffle_bytes: int) -> dict[str, str]:
+
+def cluster_settings(shuffle_bytes: int, max_partitions: int = 50_000) -> dict[str, str]:
     """Settings for a cluster, given the size of the largest shuffle of a job.
 
     Adaptive execution merges small shuffle partitions but only splits skewed
-    ones, so their number is set from the size. It is bounded, since every map
-    task serves every partition; beyond the bound partitions grow and spill.
+    ones, so their number is set from the size. Every map task serves every
+    partition, so there are ``max_partitions`` at most: beyond 12.8 TB with the
+    default, partitions grow past ``PARTITION_BYTES`` and spill. Raise it where
+    the shuffle service copes with more.
     """
-    partitions = min(max(-(-shuffle_bytes // PARTITION_BYTES), 200), MAX_PARTITIONS)
+    partitions = min(max(-(-shuffle_bytes // PARTITION_BYTES), 200), max_partitions)
     return SETTINGS | {
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
@@ -60,19 +69,49 @@ def shared_folder(spark: SparkSession) -> str:
     A machine-local folder is made only where nothing is set and the session
     runs on one machine.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    one_machine = context.master.startswith("local") and not context.master.startswith("local-cluster")
+    folder = context.getCheckpointDir()
+    if folder and (one_machine or not folder.startswith(("file:", "/"))):
+        return folder.rstrip("/")
+    if not one_machine:
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="landfall-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="landfall-")
+    return _LOCAL_FOLDERS[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_folder(spark)}/landfall/{name}-{uuid.uuid4().hex}"
+    """A new path below the shared folder, which stays until :func:`release_scratch`."""
+    path = f"{shared_folder(spark)}/landfall/{name}-{uuid.uuid4().hex}"
+    _SCRATCH[spark.sparkContext.applicationId].append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession, keep: int = 0) -> int:
+    """Delete what was written to this application's scratch paths but the first ``keep``; returns their number.
+
+    DataFrames that read from them can no longer be computed.
+    """
+    paths = _SCRATCH[spark.sparkContext.applicationId]
+    gone, paths[keep:] = paths[keep:], []
+    for path in gone:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return len(gone)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete on leaving what the block has written to scratch paths."""
+    before = len(_SCRATCH[spark.sparkContext.applicationId])
+    try:
+        yield
+    finally:
+        release_scratch(spark, before)
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from landfall import schemas
 
@@ -31,6 +32,8 @@ def read_csv(
     sep: str = ",",
     encoding: str = "UTF-8",
     infer: bool = False,
+    multi_line: bool = False,
+    rejects: str | None = None,
     **options,
 ) -> DataFrame:
     """Scan delimited files with a header line; a quote within quotes is doubled.
@@ -38,10 +41,21 @@ def read_csv(
     With a schema the header is checked against it. Without one all columns
     are strings, or of inferred type with ``infer``, at the price of an extra
     pass over the input.
+
+    A line that does not fit the columns or their types is an error. With a
+    schema and ``rejects``, such a line is kept instead: what can be read in its
+    columns, and the whole line in a column of that name, which is NULL on good
+    lines. ``multi_line`` reads text with line breaks, each file in one task.
     """
-    settings = {"sep": sep, "header": True, "encoding": encoding, "escape": '"'}
+    settings = {"sep": sep, "header": True, "encoding": encoding, "escape": '"', "multiLine": multi_line}
+    # An empty cell is given as this, which no text equals, so that quoted empty text stays text.
+    settings |= {"mode": "FAILFAST", "maxCharsPerColumn": -1, "nullValue": "\0NULL"}
     if schema is not None:
         settings["enforceSchema"] = False
+        if rejects is not None:
+            schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else T.StructType(list(schema.fields))
+            schema = schema.add(rejects, T.StringType())
+            settings |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": rejects, "enforceSchema": True}
     elif infer:
         settings["inferSchema"] = True
     return read_table(spark, path, schema, "csv", **{**settings, **options})

@@ -43,23 +43,48 @@ def write_csv(
     sep: str = ",",
     encoding: str = "UTF-8",
     mode: str = "errorifexists",
+    multi_line: bool = False,
+    empty_as_null: bool = False,
+    lossy: bool = False,
     **options,
 ) -> None:
-    """Write delimited files with a header.
+    """Write delimited files with a header, from which :func:`read_csv` gets equal rows.
 
-    NULL and empty text are both empty cells. Characters that ``encoding``
-    lacks become ``?``, so choose one that covers the text.
+    NULL is an empty cell and empty text a quoted one; ``empty_as_null`` makes
+    both an empty cell. Text with line breaks needs ``multi_line``, here and when
+    it is read, since such files cannot be split. Text with a line break
+    otherwise, or with a character that ``encoding`` lacks, is an error;
+    ``lossy`` writes blanks and ``?`` instead.
     """
     settings = {
         "sep": sep,
         "header": True,
         "encoding": encoding,
-        "emptyValue": "",
         "escape": '"',
         "ignoreLeadingWhiteSpace": False,
         "ignoreTrailingWhiteSpace": False,
     }
-    write_table(df, path, mode=mode, fmt="csv", **{**settings, **options})
+    if empty_as_null:
+        settings["emptyValue"] = ""
+    texts = {
+        name: _writable(F.col(f"`{name}`"), name, encoding, multi_line, lossy)
+        for name, dtype in df.dtypes
+        if dtype == "string"
+    }
+    write_table(df.withColumns(texts), path, mode=mode, fmt="csv", **{**settings, **options})
+
+
+def _writable(text, name: str, encoding: str, multi_line: bool, lossy: bool):
+    """The text, or an error if a delimited file cannot hold it."""
+    if not multi_line and lossy:
+        text = F.regexp_replace(text, r"[\r\n]", " ")
+    elif not multi_line:
+        broken = F.raise_error(F.lit(f"column {name} holds a line break; write and read it with multi_line"))
+        text = F.when(text.rlike(r"[\r\n]"), broken.cast("string")).otherwise(text)
+    if lossy or encoding.upper().startswith("UTF"):
+        return text
+    # Encoding fails on a character the encoding lacks.
+    return F.decode(F.encode(text, encoding), encoding)
 
 
 def write_months(

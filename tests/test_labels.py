@@ -1,4 +1,4 @@
-from landfall.operators import accepted, place_parts, redirect_codes, rejected, split_dictionary
+from landfall.operators import accepted, follow_successors, place_parts, redirect_codes, rejected, split_dictionary
 from landfall.plans import build_addresses, build_countries, build_port_codes, build_ports
 from landfall.plans.dictionaries import UNKNOWN_PORTS
 from landfall.sources import read_labels, states
@@ -53,7 +53,7 @@ def test_ports(spark):
         "A4": "too many parts",
         "BAD": "too few parts",
         "ZZZ": "unknown state",
-        "FRG": "withdrawn",
+        "FRG": "unknown successor",
         "PHF": "withdrawn",
         "no separator here": "no separator",
         "ONE": "too few parts",
@@ -146,3 +146,32 @@ def test_redirects(spark):
         "INT": ("INT", "INTERNATIONAL FALLS, MN"),
         "LST": ("NON", None),
     }
+
+
+def test_chains_and_circles_of_successors(spark):
+    pairs = [(f"c{i}", f"c{i + 1}") for i in range(20)] + [("x", "y"), ("y", "z"), ("z", "y"), ("me", "me")]
+    got = {r.code: (r.target, r.circular) for r in follow_successors(spark.createDataFrame(pairs, "code string, target string")).collect()}
+    assert all(got[f"c{i}"] == ("c20", False) for i in range(20))
+    assert all(got[k][1] for k in ("x", "y", "z", "me"))
+
+
+def test_collapsed_ports_keep_a_place(spark):
+    us = [
+        "'FOK' = 'SUFFOLK COUNTY, NY'",
+        "'FRG' = 'Collapsed (FOK) 06/15'",
+        "'HRL' = 'Collapsed into FRG, NY'",
+        "'FAR' = 'Collapsed (YYZ) 06/15'",
+        "'LST' = 'Collapsed (NON) 06/15'",
+        "'ONE' = 'Collapsed (TWO) 06/15'",
+        "'TWO' = 'Collapsed (ONE) 06/15'",
+        "'PHF' = 'No PORT Code (PHF)'",
+    ]
+    ports, problems = build_ports(lines(spark, *us), lines(spark, "'YYZ' = 'Pearson, Toronto, Ontario, Canada'"), states(spark), [])
+    got = {r.code: (r.locality, r.province) for r in ports.collect()}
+    assert got == {
+        "FOK": ("Suffolk County", "New York"), "FRG": ("Suffolk County", "New York"), "HRL": ("Suffolk County", "New York"),
+        "FAR": ("Toronto", "Ontario"), "YYZ": ("Toronto", "Ontario"),
+    }
+    assert sorted((r.value[1:4], r.problem) for r in problems.collect()) == [
+        ("LST", "unknown successor"), ("ONE", "successors in a circle"), ("PHF", "withdrawn"), ("TWO", "successors in a circle"),
+    ]

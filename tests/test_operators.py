@@ -9,6 +9,7 @@ from landfall.operators import (
     QualityError,
     add_label,
     append_members,
+    check_no_rejects,
     check_non_empty,
     check_unique,
     conform,
@@ -20,17 +21,19 @@ from landfall.operators import (
     first_per_key,
     global_count,
     keep_valid_codes,
+    last_k,
     match_rate,
     profile,
     project,
     reconcile,
+    reconcile_filters,
     require_not_null,
     share_of_total,
     top_k,
     union_sources,
     value_counts,
 )
-from landfall.sources import literal_table
+from landfall.sources import land, literal_table, read_csv
 
 
 def rows(df):
@@ -111,8 +114,38 @@ def test_top_k_puts_null_last_and_breaks_ties(spark):
     assert [r.k for r in top_k(data, 9, "n", ["k"]).collect()] == ["d", "a", "b", "c"]
 
 
-@pytest.mark.parametrize("bounded", [True, False])
-def test_dense_rank_equals_brute_force(spark, bounded):
+def test_smallest_and_last_rows(spark):
+    data = spark.createDataFrame([("b", 5), ("a", 5), ("c", None), ("d", 9)], "k string, n int")
+    assert [r.k for r in top_k(data, 3, "n", ["k"], ascending=True).collect()] == ["a", "b", "d"]
+    assert [r.k for r in last_k(data, 2, ["k"]).collect()] == ["c", "d"]
+
+
+def test_repeated_keys_of_a_lookup_add_no_rows(spark):
+    data = spark.createDataFrame([(1, "x"), (2, "y"), (3, None)], "id int, k string")
+    labels = spark.createDataFrame([("x", "b"), ("x", "a"), (None, "n")], "k string, label string")
+    got = sorted((r.id, r.label) for r in add_label(data, "k", labels, "k", "label").collect())
+    assert got == [(1, "a"), (2, None), (3, None)]
+
+
+def test_filters_are_reconciled_in_one_pass(spark):
+    data = spark.createDataFrame([(1,), (2,), (3,)], "n int")
+    checks = reconcile_filters(data, [F.col("n") < 2, F.col("n") >= 2], "numbers")
+    assert rows(checks) == [("reconcile", "numbers", 3, 3, True)]
+    tree = plan_text(checks)
+    assert tree.count("Exchange (") <= 2  # the final plan's and the initial plan's
+    assert not reconcile_filters(data, [F.col("n") < 2], "numbers").collect()[0].passed
+
+
+def test_rejected_lines_are_counted(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('a,b\n1,x\nseven,y\n3,"z"\n')
+    with pytest.raises(Exception, match="MALFORMED|BAD"):
+        read_csv(spark, str(tmp_path / "x.csv"), "a int, b string").collect()
+    landed = land(read_csv(spark, str(tmp_path / "x.csv"), "a int, b string", rejects="bad"), str(tmp_path / "p"))
+    assert sorted((r.b, r.a, r.bad) for r in landed.collect()) == [("x", 1, None), ("y", None, "seven,y"), ("z", 3, None)]
+    assert rows(check_no_rejects(landed, "bad", "x")) == [("no_rejects", "x", 1, 0, False)]
+
+
+def test_dense_rank_equals_brute_force(spark):
     rng = random.Random(5)
     # One group and one value hold a third of the rows; values and groups may be NULL.
     data = [
@@ -120,7 +153,7 @@ def test_dense_rank_equals_brute_force(spark, bounded):
         for i in range(3000)
     ]
     df = spark.createDataFrame(data, "id int, g string, v double").repartition(16)
-    got = {r.id: r.place for r in dense_rank_by(df, ["g"], "v", "place", bounded).collect()}
+    got = {r.id: r.place for r in dense_rank_by(df, ["g"], "v", "place").collect()}
     expected = {}
     for group in {g for _, g, _ in data}:
         values = {v for _, g, v in data if g == group}

