@@ -1,6 +1,8 @@
 """Every registered query against its SQL on DuckDB, on the smallest tables."""
 
 import os
+import subprocess
+import sys
 from collections import Counter
 from pathlib import Path
 
@@ -38,6 +40,20 @@ def test_stated_schemas_are_those_of_the_files(spark):
         assert table(spark, SF_DIR, name).schema.simpleString() == found.schema.simpleString()
 
 
+def test_entry_points_without_the_optional_parts():
+    """The optional subpackage and its pipeline may be left out of an installation."""
+    code = """
+import sys
+sys.modules["landfall.llm"] = sys.modules["corpus_pipeline"] = None
+import __spark_entry__ as entry
+from landfall.bindings import ORACLES, QUERIES
+assert entry.queries().keys() == QUERIES.keys() and entry.oracle_sql() == ORACLES
+"""
+    root = Path(__file__).resolve().parent.parent
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0, out.stderr[-2000:]
+
+
 def test_entry(spark):
     assert contract.entry(spark).columns[0] == "i94port"
 
