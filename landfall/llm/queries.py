@@ -25,6 +25,8 @@ ORACLES: dict[str, str] = {}
 
 TOKENIZER = "byte_bpe_50k.json"
 
+_LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 
 def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
@@ -48,7 +50,26 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digests(table(spark, sf_dir, "documents"))
 
 
-@query()
+# All pairs that share a shingle are counted, and links are followed row by row.
+@query(f"""
+    with recursive words as (
+        select doc_id, regexp_extract_all({_LOWER.format("text")}, '[^\\x20\\x09-\\x0D]+') as w from documents
+    ), sets as (
+        select doc_id, list_distinct(
+            case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+                 else list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) end) as s
+        from words
+    ), entries as (
+        select doc_id, len(s) as n, unnest(s) as shingle from sets
+    ), links as (
+        select a.doc_id as a, b.doc_id as b from entries a join entries b on a.shingle = b.shingle and a.doc_id <> b.doc_id
+        group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 90 * (a.n + b.n - count(*))
+    ), reached(a, b) as (
+        select doc_id, doc_id from sets union select reached.a, links.b from reached join links on reached.b = links.a
+    )
+    select doc_id, cast(len(s) as bigint) as n_shingles, min(b) as component_id
+    from sets join reached on doc_id = a group by all
+""")
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates by 3-word shingles at a similarity of 0.9."""
     return near_duplicates(table(spark, sf_dir, "documents"), n=3, num=90, den=100)
@@ -60,7 +81,22 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents"))
 
 
-@query()
+_ESCAPED = "replace(replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '[', '&lsqb;')"
+
+
+@query(f"""
+    with turns as (
+        select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+        union all values (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+    )
+    select conv_id, count(*) as n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+           cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+           sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+           cast(sum(length({_ESCAPED.format("text")}) + 1 + case role when 'system' then 15 when 'user' then 13
+                    when 'assistant' then 7 else 14 + length({_ESCAPED.format("role")}) end) as bigint) as formatted_chars
+    from turns group by conv_id
+""")
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations as formatted texts, and one that is full of control strings."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -74,7 +110,19 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digests(rows.unionByName(odd))
 
 
-@query()
+@query("""
+    with payloads as (
+        select page_id, cast(octet_length(encode(coalesce(html, ''))) as bigint) as payload_bytes,
+               sha256(coalesce(html, '')) as payload_digest
+        from pages
+    ), firsts as (
+        select payload_digest, min(page_id) as first from payloads where payload_bytes >= 100 group by 1
+    )
+    select page_id, payload_bytes, payload_digest,
+           case when first <> page_id then 'revisit' else 'response' end as record_type,
+           case when first <> page_id then first end as refers_to
+    from payloads left join firsts using (payload_digest)
+""")
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written to WARC archives and read back."""
     path = scratch_path(spark, "warc")
@@ -108,7 +156,37 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_digests(table(spark, sf_dir, "documents"))
 
 
-@query()
+_PLAIN = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+
+@query(f"""
+    with docs as (
+        select doc_id, regexp_extract_all({_LOWER.format("text")}, {_PLAIN}) as w from documents
+    ), items as (
+        select item_id, regexp_extract_all({_LOWER.format("text")}, {_PLAIN}) as w from benchmark
+    ), sized as (
+        select *, least(len(w), 10) as size from items where len(w) > 0
+    ), windows as (
+        select distinct item_id, size,
+               unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) as run
+        from sized
+    ), places as (
+        select doc_id, size, w, unnest(range(1, len(w) - size + 2)) as i
+        from docs cross join (select distinct size from sized) where len(w) >= size
+    ), found as (
+        select doc_id, size, i, item_id
+        from (select doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') as run from places) join windows using (size, run)
+    ), hit as (
+        select doc_id, count(distinct p) as n_hit
+        from (select doc_id, unnest(range(i, i + size)) as p from (select distinct doc_id, size, i from found)) group by 1
+    ), listed as (
+        select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+        from (select distinct doc_id, cast(item_id as varchar) as item from found) group by 1
+    )
+    select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+           sha256(coalesce(items, '')) as items_sha256, n_hit is not null as contaminated
+    from docs left join hit using (doc_id) left join listed using (doc_id)
+""")
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in documents."""
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
