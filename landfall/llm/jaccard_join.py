@@ -45,8 +45,10 @@ from landfall.llm.graph import connected_components
 from landfall.llm.words import mixed, shingle_sets, slices
 from landfall.session import materialize
 
-# Documents in one search task, and how many of a split cluster go to all its tasks.
+# Documents in one search task, the shingles of all of them, and how many documents
+# of a split cluster go to all its tasks.
 BLOCK = 512
+BLOCK_SHINGLES = 1 << 20
 HUBS = 16
 
 # A segment must hold so many shingles on average to serve as a key.
@@ -435,16 +437,18 @@ def _find(docs: DataFrame, tasks: DataFrame, n: int, num: int, den: int) -> Data
 
 
 def _split(members: DataFrame, block: int) -> DataFrame:
-    sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"))
+    parts = F.greatest(F.ceil(F.col("members") / block), F.ceil(F.col("shingles") / BLOCK_SHINGLES))
     return (
-        members.join(sizes, "cluster")
-        .withColumn("parts", F.ceil(F.col("members") / block))
+        members.drop("n")
+        .join(sizes.filter("members > 1"), "cluster")
+        .withColumn("parts", parts)
         .withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")))
     )
 
 
 def _search_clusters(docs: DataFrame, members: DataFrame, n: int, num: int, den: int, block: int) -> DataFrame:
-    """Links of all documents within a cluster. ``members``: id, cluster."""
+    """Links of all documents within a cluster. ``members``: id, cluster, and n, the size of its set."""
     split = materialize(_split(members, block))
     everywhere = F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)
     hub = F.pmod(F.xxhash64("id", F.lit(1)), F.col("members")) < HUBS
@@ -502,10 +506,9 @@ def near_duplicates(
     keys = keys or ("segments" if usual >= SEGMENT_SHINGLES else "prefix")
     candidates = segment_candidates if keys == "segments" else prefix_candidates
     near = connected_components(candidates(texts, n, num, den))
-    members = near.join(classes.select(F.col("b").alias("node")).distinct(), "node", "left_semi")
-    links = _search_clusters(
-        texts, members.select(F.col("node").alias("id"), F.col("component").alias("cluster")), n, num, den, block
-    )
+    standing = classes.groupBy(F.col("b").alias("node")).agg(F.max("n_shingles").alias("n"))
+    members = near.join(standing, "node").select(F.col("node").alias("id"), F.col("component").alias("cluster"), "n")
+    links = _search_clusters(texts, members, n, num, den, block)
     found = connected_components(links.union(copies.select("a", "b")))
     return sizes.join(found, sizes["id"] == found["node"], "left").select(
         F.col("id").alias(id_col), "n_shingles", F.coalesce("component", "id").alias("component_id")

@@ -91,6 +91,15 @@ def test_split_clusters_and_lists(spark, monkeypatch):
     assert set(connected_components(whole).collect()) == set(connected_components(dealt).collect())
 
 
+def test_blocks_of_long_texts(spark, monkeypatch):
+    """Few long texts are split too, by the number of their shingles."""
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", 200)
+    monkeypatch.setattr(jaccard_join, "HUBS", 1)
+    rows = corpus(7, 12)
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert found(near_duplicates(df, 3, 80, 100)) == brute(rows, 3, 80, 100)
+
+
 def test_empty_and_extra_columns(spark):
     assert near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
     clash = spark.createDataFrame([(1, "a b c d e f", "k", 5), (2, "a b c d e f", "k", 6)], SCHEMA + ", key string, n long")
