@@ -272,9 +272,9 @@ def _matchers(items: DataFrame, window: int, max_words: int) -> list:
 
 
 def _pass_through(docs: DataFrame, items: DataFrame, window: int, cut: bool, max_coverage: float, max_words: int):
-    fields = docs.schema.fields
+    fields = [f for f in docs.schema.fields if f.name != "text"]  # the text goes along once, as _text
     keep = [f"_c{k}" for k in range(len(fields))]  # extra columns may have any name
-    kinds = ", ".join(f"{k} {f.dataType.simpleString()}" for k, f in zip(keep, fields, strict=True))
+    kinds = "".join(f"{k} {f.dataType.simpleString()}, " for k, f in zip(keep, fields, strict=True))
     rows = docs.select(
         *[F.col(f"`{f.name}`").alias(k) for k, f in zip(keep, fields, strict=True)],
         F.col("text").cast("string").alias("_text"),
@@ -284,7 +284,7 @@ def _pass_through(docs: DataFrame, items: DataFrame, window: int, cut: bool, max
     matchers = list(_matchers(items, window, max_words))
     for k, matcher in enumerate(matchers):
         last = cut and k == len(matchers) - 1
-        made = f"{kinds}, _n_words long, _n_hit long, _items array<long>, _text string" + ("" if last else f", _spans {SPANS}")
+        made = f"{kinds}_n_words long, _n_hit long, _items array<long>, _text string" + ("" if last else f", _spans {SPANS}")
         rows = rows.select(*keep, "_text", "_spans", "_items").mapInArrow(_matched(matcher, keep, last, max_coverage), made)
     return rows, list(zip(keep, fields, strict=True))
 
@@ -318,13 +318,9 @@ def decontaminate(
     """
     rows, kept = _pass_through(docs, items, window, True, max_coverage, max_words)
     rows = rows.filter("_n_hit = 0 or _text is not null")
-    hit = F.col("_n_hit") > 0
-    out = []
-    for key, field in kept:
-        if field.name == "text":
-            out.append(F.when(hit, F.col("_text")).otherwise(F.col(key)).alias("text"))
-        elif field.name == "n_chars":
-            out.append(F.when(hit, F.length("_text")).otherwise(F.col(key)).cast(field.dataType).alias("n_chars"))
-        else:
-            out.append(F.col(key).alias(field.name))
-    return rows.select(*out)
+    made = {field.name: F.col(key) for key, field in kept}
+    if "n_chars" in made:
+        kind = docs.schema["n_chars"].dataType
+        made["n_chars"] = F.when(F.col("_n_hit") > 0, F.length("_text")).otherwise(made["n_chars"]).cast(kind)
+    made["text"] = F.col("_text")
+    return rows.select(*[made[c].alias(c) for c in docs.columns])

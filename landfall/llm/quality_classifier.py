@@ -280,13 +280,12 @@ def keep_good(
 
     def kept(batches):
         for batch in batches:
-            for piece in slices(batch, "_text"):
-                good = model.value.score(statistics(piece.column("_text"))) >= threshold
-                yield piece.filter(pa.array(good)).select(names)
+            for piece in slices(batch, text):
+                good = model.value.score(statistics(piece.column(text))) >= threshold
+                yield piece.filter(pa.array(good))
 
-    rows = docs.select(
-        *[F.col(f"`{c}`").alias(k) for c, k in zip(columns, names, strict=True)], F.col(text_col).cast("string").alias("_text")
-    )
+    text = names[columns.index(text_col)]
+    rows = docs.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(columns, names, strict=True)])
     kinds = ", ".join(f"{k} {f.dataType.simpleString()}" for k, f in zip(names, docs.schema.fields, strict=True))
     rows = rows.mapInArrow(kept, kinds)
     return rows.select(*[F.col(k).alias(c) for k, c in zip(names, columns, strict=True)])
