@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from landfall.llm.words import slices
 
-# Words remembered by a worker: some 150 bytes each.
-REMEMBERED_WORDS = 500_000
+# Words, and pieces between blanks, in each of two generations of a worker's memory: some 180 bytes each.
+REMEMBERED_WORDS = 120_000
 
 # The word rule of byte-level tokenizers. White space is spelled
 # out, as the regular expressions of Python and of the library differ on it.
@@ -45,6 +45,32 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
+class Memory:
+    """A bounded map of texts to ids in two generations.
+
+    When the younger one is full it becomes the older one. What keeps coming is taken
+    over from there, what does not is forgotten.
+    """
+
+    def __init__(self, size: int = REMEMBERED_WORDS):
+        self.size = size
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def put(self, text: str, ids: bytes) -> None:
+        if len(text) < 64:
+            if len(self.young) >= self.size:
+                self.old, self.young = self.young, {}
+            self.young[text] = ids
+
+    def recall(self, text: str) -> bytes | None:
+        """Ids from the older generation, for a text that the younger one lacks."""
+        ids = self.old.get(text)
+        if ids is not None:
+            self.put(text, ids)
+        return ids
+
+
 class BytePairs:
     """Encoder and decoder of one tokenizer file."""
 
@@ -67,8 +93,7 @@ class BytePairs:
             self.ranks.setdefault(vocabulary[left] << 32 | vocabulary[right], rank)
         self.words = regex.compile(WORD_RULE)
         self.specials = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
-        self.known_words: dict[str, bytes] = {}
-        self.known_units: dict[str, bytes] = {}
+        self.known_words, self.known_units = Memory(), Memory()
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of one word: the pair of lowest rank is joined first, the leftmost of equals."""
@@ -111,13 +136,12 @@ class BytePairs:
     def _plain(self, text: str) -> bytes:
         out = []
         for word in self.words.findall(text):
-            ids = self.known_words.get(word)
+            ids = self.known_words.young.get(word)
+            if ids is None:
+                ids = self.known_words.recall(word)
             if ids is None:
-                if len(self.known_words) >= REMEMBERED_WORDS:
-                    self.known_words.clear()
                 ids = self._packed(self.merge(word.encode("utf-8")))
-                if len(word) < 64:
-                    self.known_words[word] = ids
+                self.known_words.put(word, ids)
             out.append(ids)
         return b"".join(out)
 
@@ -143,13 +167,12 @@ class BytePairs:
         first, *pieces = text.split(" ")
         out.append(self._unit(first))
         for piece in pieces:
-            ids = known.get(piece)
+            ids = known.young.get(piece)
+            if ids is None:
+                ids = known.recall(piece)
             if ids is None:
-                if len(known) >= REMEMBERED_WORDS:
-                    known.clear()
                 ids = self._unit(" " + piece)
-                if len(piece) < 64:
-                    known[piece] = ids
+                known.put(piece, ids)
             out.append(ids)
         return b"".join(out)
 

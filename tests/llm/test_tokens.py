@@ -31,8 +31,10 @@ def texts():
     return [*out, "", " ", "  ", " a", "a ", "ab" * 30_000, " " * 5000 + "x", "x" * 20_000]
 
 
-def test_ids_equal_the_library(library):
+@pytest.mark.parametrize("remembered", [120_000, 50])
+def test_ids_equal_the_library(library, remembered):
     pairs = BytePairs(PATH)
+    pairs.known_words.size = pairs.known_units.size = remembered
     for text in texts():
         ids = np.frombuffer(pairs.encode(text), dtype="<u4").tolist()
         assert ids == library.encode(text, add_special_tokens=False).ids, text[:80]
