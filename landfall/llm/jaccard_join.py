@@ -229,14 +229,14 @@ def _prefix(sets: np.ndarray, at: np.ndarray, sketch: np.ndarray, num: int, den:
     return sets[kept], owner[kept]
 
 
-def _bitmap(values: np.ndarray, bits: int) -> bytes:
-    """For each place whether an odd number of shingles fall on it."""
-    return np.packbits(np.bincount((values % np.uint64(bits)).astype(np.int64), minlength=bits) & 1 == 1).tobytes()
-
+def _bitmap(values: np.ndarray) -> bytes:
+    """For each place whether an odd number of shingles fall on it.
 
-def _width(bands: np.ndarray, band: int) -> int:
-    """Bits of the bitmaps compared within a size band: a power of two near twice the sets' size."""
-    return 1 << max(6, int(bands[band + 1]).bit_length() + 1)
+    There is a power of two of places, once to twice the number of shingles, so
+    the halves of a bitmap laid over each other are that of half the size.
+    """
+    bits = 1 << max(7, (len(values) - 1).bit_length())
+    return np.packbits(np.bincount((values % np.uint64(bits)).astype(np.int64), minlength=bits) & 1 == 1).tobytes()
 
 
 def _prefix_rows(n: int, num: int, den: int, sketch):
@@ -248,59 +248,74 @@ def _prefix_rows(n: int, num: int, den: int, sketch):
     return rows
 
 
-def _bitmap_rows(n: int, num: int, den: int):
-    """Per document and size band (its own and the one below) the bitmap of its set."""
+def _bitmap_rows(n: int):
+    """Per document the size and the bitmap of its set."""
 
     def rows(batches):
         for ids, sets, at in _documents(batches, n):
-            bands = _bands(num, den, int(np.diff(at).max(initial=1)))
-            out = []
-            for i, (lo, hi) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)):
-                if hi > lo:
-                    own = int(np.searchsorted(bands, hi - lo, side="right")) - 1
-                    wide = sets[lo:hi] >> np.uint64(8)
-                    out += [(int(ids[i]), b, hi - lo, _bitmap(wide, _width(bands, b))) for b in (own, own - 1) if b >= 0]
-            ids_, bands_, sizes, maps = zip(*out, strict=True) if out else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids_, pa.int64()), pa.array(bands_, pa.int64()), pa.array(sizes, pa.int64()),
-                 pa.array(maps, pa.binary())],
-                ["id", "band", "n", "bits"],
-            )
+            own = [(i, hi - lo, _bitmap(sets[lo:hi] >> np.uint64(8))) for i, lo, hi in zip(ids, at[:-1], at[1:], strict=True) if hi > lo]
+            ids_, sizes, maps = zip(*own, strict=True) if own else ((), (), ())
+            columns = [pa.array(ids_, pa.int64()), pa.array(sizes, pa.int64()), pa.array(maps, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "n", "bits"])
 
     return rows
 
 
-def _compatible(sizes: np.ndarray, maps: np.ndarray, ids: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
-    """Edges that connect all documents whose bitmaps allow a link.
+def _compatible(sizes: np.ndarray, maps: list[bytes], ids: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
+    """Edges that connect all documents whose sizes and bitmaps allow a link.
 
     Grows one tree after the other: a document taken from the tree is compared
     with all that are in none yet, so a group of copies costs one comparison each.
+    Linked sets differ in size by less than a factor of two, so by one step of
+    their bitmaps' sizes at most, and the larger one is folded.
     """
-    left, edges = np.arange(len(ids)), []
-    while len(left) > 1:
-        queue, left = [left[0]], left[1:]
-        while queue and len(left):
+    width = np.array([len(m) for m in maps])
+    classes, place = {}, np.empty(len(maps), dtype=np.int64)
+    for w in np.unique(width).tolist():
+        members = np.flatnonzero(width == w)
+        place[members] = np.arange(len(members))
+        own = np.frombuffer(b"".join(maps[i] for i in members), dtype=np.uint64).reshape(len(members), -1)
+        half = own.shape[1] // 2
+        classes[w] = (members, own, own[:, :half] ^ own[:, half:])
+    free, edges = np.ones(len(maps), dtype=bool), []
+    for start in range(len(maps)):
+        if not free[start]:
+            continue
+        free[start] = False
+        queue = [start]
+        while queue:
             i = queue.pop()
-            differ = np.bitwise_count(maps[left] ^ maps[i]).sum(axis=1)
-            near = differ * (den + num) <= (sizes[left] + sizes[i]) * (den - num)
-            edges += [(int(ids[i]), int(ids[j])) for j in left[near] if ids[i] != ids[j]]
-            queue += left[near].tolist()
-            left = left[~near]
+            _, own, folded = classes[width[i]]
+            own, folded = own[place[i]], folded[place[i]]
+            for w, one, which in ((width[i] // 2, folded, 1), (width[i], own, 1), (width[i] * 2, own, 2)):
+                if w not in classes:
+                    continue
+                members = classes[w][0]
+                left = np.flatnonzero(free[members])
+                if not len(left):
+                    continue
+                others = members[left]
+                differ = np.bitwise_count(classes[w][which][left] ^ one).sum(axis=1).astype(np.int64)
+                near = differ * (den + num) <= (sizes[others] + sizes[i]) * (den - num)
+                near &= np.minimum(sizes[others], sizes[i]) * den >= np.maximum(sizes[others], sizes[i]) * num
+                found = others[near]
+                edges += [(int(ids[i]), int(ids[j])) for j in found if ids[i] != ids[j]]
+                free[found] = False
+                queue += found.tolist()
     return edges
 
 
 def _compared(num: int, den: int):
     def rows(batches):
         held = [batch.to_pydict() for batch in batches]
-        table = {k: [x for h in held for x in h[k]] for k in ("key", "band", "part", "id", "n", "bits")}
+        table = {k: [x for h in held for x in h[k]] for k in ("key", "part", "id", "n", "bits")}
         found = set()
-        order = sorted(range(len(table["id"])), key=lambda i: (table["key"][i], table["band"][i], table["part"][i]))
-        for _, run in groupby(order, key=lambda i: (table["key"][i], table["band"][i], table["part"][i])):
+        order = sorted(range(len(table["id"])), key=lambda i: (table["key"][i], table["part"][i]))
+        for _, run in groupby(order, key=lambda i: (table["key"][i], table["part"][i])):
             run = list(run)
             if len(run) > 1:
-                maps = np.frombuffer(b"".join(table["bits"][i] for i in run), dtype=np.uint64).reshape(len(run), -1)
                 sizes, ids = (np.array([table[k][i] for i in run]) for k in ("n", "id"))
-                found.update((min(e), max(e)) for e in _compatible(sizes, maps, ids, num, den))
+                found.update((min(e), max(e)) for e in _compatible(sizes, [table["bits"][i] for i in run], ids, num, den))
         if found:
             pairs = np.array(sorted(found), dtype=np.int64)
             yield pa.RecordBatch.from_arrays([pairs[:, 0].copy(), pairs[:, 1].copy()], ["a", "b"])
@@ -323,8 +338,8 @@ def prefix_candidates(docs: DataFrame, n: int, num: int, den: int, block: int =
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     dealt = entries.withColumn("own", own).withColumn("other", other)
     dealt = dealt.withColumn("part", F.least("own", "other") * F.col("blocks") + F.greatest("own", "other"))
-    maps = docs.mapInArrow(_bitmap_rows(n, num, den), "id long, band long, n long, bits binary")
-    rows = dealt.select("key", "part", "id").join(maps, "id").repartition("key", "band", "part")
+    maps = docs.mapInArrow(_bitmap_rows(n), "id long, n long, bits binary")
+    rows = dealt.select("key", "part", "id").join(maps, "id").repartition("key", "part")
     return rows.mapInArrow(_compared(num, den), "a long, b long").distinct()
 
 
@@ -493,9 +508,12 @@ def near_duplicates(
 ) -> DataFrame:
     """Per row of ``docs`` its id, ``n_shingles`` and ``component_id``, the smallest id reachable by links.
 
-    ``num``/``den`` is the least Jaccard similarity of a link. ``keys`` forces
-    "segments" or "prefix" as candidate keys; both give the same links.
+    ``num``/``den`` is the least Jaccard similarity of a link, one half or more.
+    ``keys`` forces "segments" or "prefix" as candidate keys; both give the same
+    links.
     """
+    if not den <= 2 * num <= 2 * den:
+        raise ValueError("the similarity of a link must lie between one half and one")
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     sizes = materialize(set_sizes(docs, n))
     known = sizes.filter("id is not null and n_shingles > 0")
