@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landfall.llm.words import slices
+from landfall.llm.words import slices, tidy
 
 # Words, and pieces between blanks, in each of two generations of a worker's memory: some 180 bytes each.
 REMEMBERED_WORDS = 120_000
@@ -205,7 +205,7 @@ def _replaced(df: DataFrame, column: str, made: str, kind: str, function) -> Dat
                 yield pa.RecordBatch.from_arrays([*others, function(piece.column(column))], [*names, made])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), f"`{made}` {kind}"])
-    return df.select(*[F.col(f"`{c}`") for c in (*names, column)]).mapInArrow(rows, schema)
+    return df.select(*[F.col(f"`{c}`") for c in (*names, column)]).mapInArrow(tidy(rows), schema)
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:

@@ -29,6 +29,7 @@ from landfall.llm.words import (
     mixed,
     slices,
     text_bytes,
+    tidy,
     word_bounds,
     word_hashes,
 )
@@ -285,7 +286,7 @@ def _pass_through(docs: DataFrame, items: DataFrame, window: int, cut: bool, max
     for k, matcher in enumerate(matchers):
         last = cut and k == len(matchers) - 1
         made = f"{kinds}_n_words long, _n_hit long, _items array<long>, _text string" + ("" if last else f", _spans {SPANS}")
-        rows = rows.select(*keep, "_text", "_spans", "_items").mapInArrow(_matched(matcher, keep, last, max_coverage), made)
+        rows = rows.select(*keep, "_text", "_spans", "_items").mapInArrow(tidy(_matched(matcher, keep, last, max_coverage)), made)
     return rows, list(zip(keep, fields, strict=True))
 
 

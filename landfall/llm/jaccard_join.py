@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landfall.llm.graph import connected_components
-from landfall.llm.words import mixed, shingle_sets, slices
+from landfall.llm.words import mixed, shingle_sets, slices, tidy
 from landfall.session import materialize
 
 # Documents in one search task, the shingles of all of them, and how many documents
@@ -55,7 +55,7 @@ HUBS = 16
 SEGMENT_SHINGLES = 6
 
 # Counters of the frequency sketch.
-SKETCH_BITS = 18
+SKETCH_BITS = 19
 
 # Members of a shared key that are compared in one task.
 LIST_BLOCK = 2048
@@ -134,7 +134,7 @@ def set_sizes(docs: DataFrame, n: int) -> DataFrame:
                     ["id", "n_shingles", "digest_1", "digest_2"],
                 )
 
-    return docs.mapInArrow(measured, "id long, n_shingles long, digest_1 long, digest_2 long")
+    return docs.mapInArrow(tidy(measured), "id long, n_shingles long, digest_1 long, digest_2 long")
 
 
 def _combined(keys: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
@@ -186,8 +186,8 @@ def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def segment_candidates(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """Edges that connect all documents with a segment in common."""
-    rows = docs.mapInArrow(_segment_rows(n, num, den), "key long, a long, b long")
-    return rows.repartition("key").mapInArrow(_chained, "a long, b long")
+    rows = docs.mapInArrow(tidy(_segment_rows(n, num, den)), "key long, a long, b long")
+    return rows.repartition("key").mapInArrow(tidy(_chained), "a long, b long")
 
 
 def frequency_sketch(docs: DataFrame, n: int) -> np.ndarray:
@@ -203,14 +203,14 @@ def frequency_sketch(docs: DataFrame, n: int) -> np.ndarray:
         for _, sets, _ in _documents(batches, n):
             total += np.bincount((sets >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=width)
         yield pa.RecordBatch.from_arrays(
-            [np.arange(parts), [x.astype(np.int64).tobytes() for x in np.split(total, parts)]], ["part", "counts"]
+            [np.arange(parts), [x.astype(np.int32).tobytes() for x in np.split(total, parts)]], ["part", "counts"]
         )
 
     def added(key, table):
-        total = sum(np.frombuffer(x, dtype=np.int64) for x in table.column("counts").to_pylist())
+        total = sum(np.frombuffer(x, dtype=np.int32).astype(np.int64) for x in table.column("counts").to_pylist())
         return pa.table({"part": [key[0].as_py()], "counts": [total.tobytes()]})
 
-    rows = docs.mapInArrow(counted, "part long, counts binary").groupBy("part").applyInArrow(
+    rows = docs.mapInArrow(tidy(counted), "part long, counts binary").groupBy("part").applyInArrow(
         added, "part long, counts binary"
     )
     total = np.zeros((parts, width // parts), dtype=np.int64)
@@ -310,7 +310,8 @@ def _compared(num: int, den: int):
         held = [batch.to_pydict() for batch in batches]
         table = {k: [x for h in held for x in h[k]] for k in ("key", "part", "id", "n", "bits")}
         found = set()
-        order = sorted(range(len(table["id"])), key=lambda i: (table["key"][i], table["part"][i]))
+        # In order of ids, so that the keys of a group give the same edges.
+        order = sorted(range(len(table["id"])), key=lambda i: (table["key"][i], table["part"][i], table["id"][i]))
         for _, run in groupby(order, key=lambda i: (table["key"][i], table["part"][i])):
             run = list(run)
             if len(run) > 1:
@@ -330,7 +331,7 @@ def prefix_candidates(docs: DataFrame, n: int, num: int, den: int, block: int =
     """
     spark = docs.sparkSession
     sketch = spark.sparkContext.broadcast(frequency_sketch(docs, n))
-    entries = docs.mapInArrow(_prefix_rows(n, num, den, sketch), "key long, id long")
+    entries = docs.mapInArrow(tidy(_prefix_rows(n, num, den, sketch)), "key long, id long")
     shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     blocks = F.ceil(F.col("members") / block)
     entries = materialize(entries.join(shared, "key").withColumn("blocks", blocks).drop("members"))
@@ -338,9 +339,9 @@ def prefix_candidates(docs: DataFrame, n: int, num: int, den: int, block: int =
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     dealt = entries.withColumn("own", own).withColumn("other", other)
     dealt = dealt.withColumn("part", F.least("own", "other") * F.col("blocks") + F.greatest("own", "other"))
-    maps = docs.mapInArrow(_bitmap_rows(n), "id long, n long, bits binary")
+    maps = docs.mapInArrow(tidy(_bitmap_rows(n)), "id long, n long, bits binary")
     rows = dealt.select("key", "part", "id").join(maps, "id").repartition("key", "part")
-    return rows.mapInArrow(_compared(num, den), "a long, b long").distinct()
+    return rows.mapInArrow(tidy(_compared(num, den)), "a long, b long").distinct()
 
 
 def _search(ids, queries, labels, sets, num: int, den: int, seen: np.ndarray | None = None) -> list[tuple[int, int]]:
@@ -447,8 +448,8 @@ def _find(docs: DataFrame, tasks: DataFrame, n: int, num: int, den: int) -> Data
     # the join is the same at every size.
     rows = docs.join(tasks.hint("merge"), "id").select("cluster", "part", "id", "query", "label", "text")
     fields = "cluster long, part long, id long, query boolean, label long, bits binary"
-    rows = rows.mapInArrow(_with_sets(n), fields).repartition("cluster", "part")
-    return rows.sortWithinPartitions("cluster", "part").mapInArrow(_searched(num, den), "a long, b long")
+    rows = rows.mapInArrow(tidy(_with_sets(n)), fields).repartition("cluster", "part")
+    return rows.sortWithinPartitions("cluster", "part").mapInArrow(tidy(_searched(num, den)), "a long, b long")
 
 
 def _split(members: DataFrame, block: int) -> DataFrame:

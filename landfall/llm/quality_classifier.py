@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from landfall.llm.words import SPACED_WORDS, slices, text_bytes, word_bounds, word_hashes
+from landfall.llm.words import SPACED_WORDS, slices, text_bytes, tidy, word_bounds, word_hashes
 from landfall.session import materialize
 
 # Random features, the kernel's width over standardised statistics, the ridge, and the seed.
@@ -133,7 +133,7 @@ def with_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 )
 
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return docs.mapInArrow(rows, "id long, x array<double>")
+    return docs.mapInArrow(tidy(rows), "id long, x array<double>")
 
 
 @dataclass
@@ -184,7 +184,7 @@ def _summed(rows: DataFrame, terms, size: int, groups: int = 64) -> np.ndarray:
         return pa.table({"part": [key[0].as_py()], "total": [total.tobytes()]})
 
     kind = "part long, total binary"
-    parts = rows.select("x", "y").mapInArrow(partial, kind).groupBy("part").applyInArrow(added, kind).collect()
+    parts = rows.select("x", "y").mapInArrow(tidy(partial), kind).groupBy("part").applyInArrow(added, kind).collect()
     return np.sum([np.zeros(size), *(np.frombuffer(r.total, dtype=float) for r in parts)], axis=0)
 
 
@@ -261,7 +261,7 @@ def quality_scores(
             if batch.num_rows:
                 yield pa.RecordBatch.from_arrays([batch.column("id"), model.value.score(_matrix(batch))], ["id", "score"])
 
-    out = stats.mapInArrow(scored, "id long, score double")
+    out = stats.mapInArrow(tidy(scored), "id long, score double")
     return out.select(
         F.col("id").alias(id_col),
         (fold("id") == 0).alias("held_out"),
@@ -287,5 +287,5 @@ def keep_good(
     text = names[columns.index(text_col)]
     rows = docs.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(columns, names, strict=True)])
     kinds = ", ".join(f"{k} {f.dataType.simpleString()}" for k, f in zip(names, docs.schema.fields, strict=True))
-    rows = rows.mapInArrow(kept, kinds)
+    rows = rows.mapInArrow(tidy(kept), kinds)
     return rows.select(*[F.col(k).alias(c) for k, c in zip(names, columns, strict=True)])

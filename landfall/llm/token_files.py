@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from landfall.llm.words import slices
+from landfall.llm.words import slices, tidy
 
 # Pieces in each of two generations of a worker's memory, of some 200 bytes each.
 REMEMBERED_UNITS = 450_000
@@ -140,7 +140,7 @@ def token_rows(docs: DataFrame, path: str, end_id: int = 0) -> DataFrame:
                 )
                 before += int(at[-1])
 
-    return docs.select("doc_id", F.col("text").cast("string")).orderBy("doc_id", F.xxhash64("text")).mapInArrow(rows, FIELDS)
+    return docs.select("doc_id", F.col("text").cast("string")).orderBy("doc_id", F.xxhash64("text")).mapInArrow(tidy(rows), FIELDS)
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0) -> None:
@@ -184,4 +184,4 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
             )
 
     found = read_token_files(spark, path).select("doc_id", "start", "ids")
-    return found.mapInArrow(rows, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return found.mapInArrow(tidy(rows), "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from landfall.llm.words import tidy
 from landfall.session import materialize
 
 MIN_SHARED = 100
@@ -90,7 +91,7 @@ def record_chunks(pages: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame
         if held:
             yield _batch(held)
 
-    return pages.select("page_id", "url", "refers_to", "total", "digest", "html").mapInArrow(rows, CHUNKS)
+    return pages.select("page_id", "url", "refers_to", "total", "digest", "html").mapInArrow(tidy(rows), CHUNKS)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -238,7 +239,7 @@ def read_segments(spark: SparkSession, path: str) -> DataFrame:
     # A gzipped file is one split, so its lines come to one task in their order.
     lines = spark.read.option("lineSep", "\r\n").text(path)
     lines = lines.select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("value"))
-    return lines.mapInArrow(rows, SEGMENTS)
+    return lines.mapInArrow(tidy(rows), SEGMENTS)
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:

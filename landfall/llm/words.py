@@ -7,7 +7,9 @@ cut a character.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +22,26 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
+def tidy(rows: Callable) -> Callable:
+    """A task's function that hands freed memory back when the task is over.
+
+    Python workers are used again for later stages; what their allocators hold on
+    to would add up beside that of the JVM.
+    """
+
+    @functools.wraps(rows)
+    def run(batches):
+        try:
+            yield from rows(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library on Linux
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection on 64-bit numbers that spreads every bit over all others."""
     x = x.astype(np.uint64, copy=True)
