@@ -9,25 +9,37 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 SLICE_BYTES = 1 << 19
 
+# The session's limit of bytes in a batch for Python, and what it is lowered to.
+BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
+UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
 def tidy(rows: Callable) -> Callable:
-    """A task's function that hands freed memory back when the task is over.
+    """A task's function that takes small batches, and hands freed memory back when the task is over.
 
-    Python workers are used again for later stages; what their allocators hold on
-    to would add up beside that of the JVM.
+    Texts make batches of the usual number of rows large, in the JVM and again in
+    Python, so the session's limit of their bytes is lowered. Python workers are used
+    again for later stages; what their allocators hold on to would add up.
     """
+    conf = SparkSession.active().conf
+    size = re.fullmatch(r"(\d+)([bkmg]?)b?", conf.get(BATCH_LIMIT, "1g").lower())
+    if size is None or int(size[1]) * UNITS[size[2]] > BATCH_BYTES:
+        conf.set(BATCH_LIMIT, str(BATCH_BYTES))
 
     @functools.wraps(rows)
     def run(batches):
