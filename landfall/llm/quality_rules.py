@@ -8,8 +8,11 @@ of any size costs a sketch per task. Groups with few documents take the limits o
 their language, and those of few the limits of all documents, from merged
 sketches of the same kind.
 
-A limit only cuts off what is far outside: a measure must also pass a margin that
-ordinary documents never reach, so a uniform group does not lose its own.
+A limit lies far outside the quartiles, and a small floor under their distance
+keeps a uniform group from losing its own. A group reaches beyond the limits of its
+language, and a language beyond those of all documents, only as far as the half of
+its documents on the other side of the median says alone, so a source with much junk
+cannot lift its limits past it.
 
 NULL and empty texts have no words and fail. NULL languages and sources form
 groups of their own. Repeated rows count as often as they occur.
@@ -32,13 +35,14 @@ LEAST_GROUP = 100
 WIDENING = 4.0
 ACCURACY = 2000
 
-# Measures judged by the adaptive limits: expression, side, and margin. A
-# document fails only beyond both the limit of its group and the margin.
+# Measures judged by the adaptive limits: expression, sides, and least distance of
+# the quartiles. Words can be too short as well as too long; no symbols, and nothing
+# repeated, is as it should be.
 MEASURES = {
-    "symbol_share": ("n_symbols / greatest(n_chars, 1)", "high", 0.02),
-    "word_length": ("word_chars / greatest(n_words, 1)", "high", 15.0),
-    "line_repeat": ("n_dup_lines / greatest(n_lines, 1)", "high", 0.3),
-    "word_repeat": ("n_repeat_words / greatest(n_words, 1)", "high", 0.1),
+    "symbol_share": ("n_symbols / greatest(n_chars, 1)", ("high",), 0.0025),
+    "word_length": ("word_chars / greatest(n_words, 1)", ("low", "high"), 0.1),
+    "line_repeat": ("n_dup_lines / greatest(n_lines, 1)", ("high",), 0.06),
+    "word_repeat": ("n_repeat_words / greatest(n_words, 1)", ("high",), 0.02),
 }
 
 BLANK = "[\\x20\\x09-\\x0D]"
@@ -106,11 +110,34 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
+def _reach(name: str) -> Column:
+    """Limits of a measure from its sketch: by both quartiles, and by the half of the documents on the other side alone."""
+    floor = F.lit(MEASURES[name][2])
+    low, middle, high = (F.kll_sketch_get_quantile_double(name, F.lit(q)) for q in (0.25, 0.5, 0.75))
+    spread = F.greatest(high - low, floor)
+    return F.struct(
+        (low - WIDENING * spread).alias("low"),
+        (high + WIDENING * spread).alias("high"),
+        # As far from the median as the limit of a group that is alike on both sides.
+        (middle - (WIDENING + 0.5) * F.greatest(2 * (high - middle), floor)).alias("low_alone"),
+        (middle + (WIDENING + 0.5) * F.greatest(2 * (middle - low), floor)).alias("high_alone"),
+    )
+
+
+def _within(own: Column, above: Column, enough: Column) -> Column:
+    """Limits of a group, given those of the larger group above it."""
+    low = F.greatest(own["low"], F.least(above["low"], own["low_alone"]))
+    high = F.least(own["high"], F.greatest(above["high"], own["high_alone"]))
+    return F.struct(
+        F.when(enough, low).otherwise(above["low"]).alias("low"), F.when(enough, high).otherwise(above["high"]).alias("high")
+    )
+
+
 def group_limits(rows: DataFrame) -> DataFrame:
-    """A limit per measure for every language and source (``lang``, ``source``), by merged quantile sketches.
+    """Limits per measure for every language and source (``lang``, ``source``), by merged quantile sketches.
 
     One pass sketches each language and source; the sketches of a language are
-    merged for its small groups, and all sketches for small languages.
+    merged, and all sketches for the whole.
     """
     names = list(MEASURES)
     sketches = rows.groupBy("lang", "source").agg(
@@ -122,24 +149,25 @@ def group_limits(rows: DataFrame) -> DataFrame:
         parts = [F.kll_merge_agg_double(name).alias(name) for name in names]
         return sketches.groupBy(*by).agg(F.sum("docs").alias("docs"), *parts)
 
-    def limits(df: DataFrame, tag: str) -> DataFrame:
-        def limit(name):
-            low, high = (F.kll_sketch_get_quantile_double(name, F.lit(q)) for q in (0.25, 0.75))
-            return F.greatest(high + WIDENING * (high - low), F.lit(MEASURES[name][2]))
-
+    def reaches(df: DataFrame, tag: str) -> DataFrame:
         return df.select(
             *[F.col(c).alias(f"{c}_{tag}") for c in ("lang", "source") if c in df.columns],
-            F.struct(*[limit(name).alias(name) for name in names]).alias(f"limits_{tag}"),
-            (F.col("docs") >= LEAST_GROUP).alias(f"enough_{tag}"),
+            F.struct(*[_reach(name).alias(name) for name in names]).alias(f"limits_{tag}"),
+            F.col("docs").alias(f"docs_{tag}"),
         )
 
-    own, of_lang = limits(sketches, "own"), limits(merged("lang"), "lang")
-    overall = limits(merged(), "all").first()["limits_all"]  # one row
-    of_all = F.struct(*[F.lit(overall[name]).cast("double").alias(name) for name in names])
-    joined = own.join(of_lang, F.col("lang_own").eqNullSafe(F.col("lang_lang")))
-    chosen = F.when(F.col("enough_own"), F.col("limits_own")).when(F.col("enough_lang"), F.col("limits_lang"))
+    def settled(tag: str, above: Column) -> Column:
+        enough = F.col(f"docs_{tag}") >= LEAST_GROUP
+        return F.struct(*[_within(F.col(f"limits_{tag}")[name], above[name], enough).alias(name) for name in names])
+
+    overall = reaches(merged(), "all").first()["limits_all"]  # one row
+    of_all = F.struct(
+        *[F.struct(*[F.lit(overall[name][side]).cast("double").alias(side) for side in ("low", "high")]).alias(name) for name in names]
+    )
+    of_lang = reaches(merged("lang"), "lang").withColumn("limits_lang", settled("lang", of_all))
+    joined = reaches(sketches, "own").join(of_lang, F.col("lang_own").eqNullSafe(F.col("lang_lang")))
     return joined.select(
-        F.col("lang_own").alias("lang"), F.col("source_own").alias("source"), chosen.otherwise(of_all).alias("limits")
+        F.col("lang_own").alias("lang"), F.col("source_own").alias("source"), settled("own", F.col("limits_lang")).alias("limits")
     )
 
 
@@ -151,7 +179,11 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     rows = materialize(rows.withColumn("base_failed", base))
     limits = materialize(group_limits(rows.filter("not base_failed")))
     same = rows["lang"].eqNullSafe(limits["lang"]) & rows["source"].eqNullSafe(limits["source"])
-    within = [F.coalesce(F.col(name) <= F.col("limits")[name], F.lit(True)) for name in MEASURES]
+    sides = {
+        "low": lambda name: F.col(name) >= F.col("limits")[name]["low"],
+        "high": lambda name: F.col(name) <= F.col("limits")[name]["high"],
+    }
+    within = [F.coalesce(sides[side](name), F.lit(True)) for name, m in MEASURES.items() for side in m[1]]
     verdict = within[0]
     for test in within[1:]:
         verdict = verdict & test

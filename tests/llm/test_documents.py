@@ -85,6 +85,31 @@ def test_limits_equal_sorted_quartiles(spark, monkeypatch):
                 assert found[r[0]].kept == (share <= limit)
 
 
+def letters(rng, n=200, size=(3, 7)):
+    return ["".join(rng.choices("abcdefghij", k=rng.randint(*size))) for _ in range(n)]
+
+
+def test_limits_tighten_and_loosen_by_the_data(spark):
+    """No fixed cutoff stands behind the limits: words of 8 letters, or of 3, are far outside in prose and usual elsewhere."""
+    rng = random.Random(11)
+    rows = [(i, " ".join(letters(rng)), "en", "prose", 1) for i in range(300)]
+    rows += [(1000 + i, " ".join(letters(rng, size=(7, 11))), "de", "terms", 1) for i in range(300)]
+    rows += [(5000, " ".join(letters(rng, size=(7, 9))), "en", "prose", 1), (5001, " ".join(letters(rng, size=(2, 4))), "en", "prose", 1)]
+    rows += [(5002, " ".join(letters(rng, size=(7, 11))), "de", "terms", 1), (5003, " ".join([*letters(rng), *"###############"]), "en", "prose", 1)]
+    kept = {r.doc_id: r.kept for r in judged(docs(spark, rows)).collect()}
+    assert all(kept[i] for i in range(300)) and all(kept[1000 + i] for i in range(300)) and kept[5002]
+    assert not kept[5000] and not kept[5001] and not kept[5003]
+
+
+def test_junk_of_a_source_does_not_lift_its_limits(spark):
+    rng = random.Random(12)
+    rows = [(i, " ".join(letters(rng)), "en", f"s{i % 4}", 1) for i in range(1200)]
+    rows += [(2000 + i, " ".join(letters(rng) if i % 5 < 3 else [*letters(rng), *(f"####{k}" for k in range(60))]), "en", "dump", 1) for i in range(300)]
+    kept = {r.doc_id: r.kept for r in judged(docs(spark, rows)).collect()}
+    assert all(kept[i] for i in range(1200))
+    assert all(kept[2000 + i] == (i % 5 < 3) for i in range(300))
+
+
 # Quality classifier
 
 
