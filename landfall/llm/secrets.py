@@ -9,7 +9,8 @@ endpoint, an identifier or an endpoint needs a secret. Strong spans count as
 parts too, an access key as an identifier, the others as secrets.
 
 Parts are joined on the stretches of text their neighbourhoods touch. As parts
-have a least length, a stretch holds few of them, whatever the document.
+have a least length, a stretch holds few of them, whatever the document. Only places
+are joined: a long part stands in many stretches, its text stays with its row.
 
 NULL and empty texts hold nothing. Repeated rows each get their spans.
 """
@@ -32,15 +33,15 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?+\x20*+[:=]\x20*+["
 ACCESS = r"AKIA[A-Z0-9]++"
 HEX = r"(?<![0-9a-f])[0-9a-f]{32,}+"
 
-# Weak candidates.
+# Weak candidates. They begin only where a run begins and take all of it, so any length needs one pass.
 WEAK_ID = (
     r"(?i)(?<![a-z0-9_])(?:user(?:name)?|login|account(?:_?id)?|client_?id|access_?key(?:_?id)?|tenant(?:_?id)?)"
-    r"""["']?+\x20?+[:=]\x20?+["']?+[A-Za-z0-9@._-]{3,64}+"""
+    r"""["']?+\x20?+[:=]\x20?+["']?+[A-Za-z0-9@._-]{3,}+"""
 )
-WEAK_SECRET = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,80}[0-9])(?=[0-9+/_-]{0,80}[A-Za-z])[A-Za-z0-9+/_-]{20,80}+(?![A-Za-z0-9+/_-])"
+WEAK_SECRET = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z])[A-Za-z0-9+/_-]{20,}+"
 WEAK_ENDPOINT = (
     r"(?i)(?<![a-z0-9])(?:https?|ftps?|ssh|amqps?|redis|postgres(?:ql)?|mysql|mongodb|jdbc:[a-z0-9]{2,20})"
-    r"://[A-Za-z0-9.-]{3,200}+(?::[0-9]{2,5})?"
+    r"://[A-Za-z0-9.-]{3,}+(?::[0-9]{2,5})?"
 )
 
 
@@ -82,33 +83,32 @@ def find_secrets(docs: DataFrame, scope: int = SCOPE, id_col: str = "doc_id", te
     parts = F.size("weak") > 0
     found = materialize(found.withColumn("key", F.when(parts, F.col("key"))))
     linked = confirmed(found.filter("key is not null"), scope)
+    spans = S.ordered(F.transform("linked", lambda i: F.get("weak", i)), (*BASE_KINDS, *WEAK_KINDS))
     return found.join(linked, "key", "left").select(
-        F.col("id").alias(id_col), "base", F.coalesce("linked", S.none()).alias("linked")
+        F.col("id").alias(id_col), "base", F.coalesce(spans, S.none()).alias("linked")
     )
 
 
 def confirmed(found: DataFrame, scope: int) -> DataFrame:
-    """Per ``key`` the weak spans with a complementary part in scope, in order."""
-    secret = F.col("s.kind").isin("assign", "hex", "link_secret")
-    part = found.select("key", F.explode(F.concat("base", "weak")).alias("s")).distinct()
+    """Per ``key`` the positions, in ``weak``, of the weak spans with a complementary part in scope."""
+    part = found.select("key", F.size("base").alias("n"), F.posexplode(F.concat("base", "weak")).alias("i", "s"))
+    part = part.select("key", "s.kind", "s.start", "s.end", (F.col("i") - F.col("n")).alias("i")).distinct()
     part = part.select(
-        "key", "s", secret.alias("secret"), F.col("s.kind").startswith("link_").alias("weak"),
-        F.floor(F.col("s.start") / scope).alias("low"), F.floor((F.col("s.end") - 1) / scope).alias("high"),
+        "key", "start", "end", "i", F.col("kind").isin("assign", "hex", "link_secret").alias("secret"),
+        F.floor(F.col("start") / scope).alias("low"), F.floor((F.col("end") - 1) / scope).alias("high"),
     )
     # A weak part asks in the stretches it touches and their neighbours; every
     # part stands in all stretches it touches.
-    asks = part.filter("weak").withColumn("stretch", F.explode(F.sequence(F.col("low") - 1, F.col("high") + 1)))
+    asks = part.filter("i >= 0").withColumn("stretch", F.explode(F.sequence(F.col("low") - 1, F.col("high") + 1)))
     stands = part.withColumn("stretch", F.explode(F.sequence("low", "high")))
-    stands = stands.select(
-        F.col("key").alias("_key"), F.col("stretch").alias("_stretch"), F.col("secret").alias("_secret"), F.col("s").alias("_s")
-    )
-    near = (F.col("_s.start") < F.col("s.end") + scope) & (F.col("s.start") < F.col("_s.end") + scope)
+    stands = stands.select(*[F.col(c).alias(f"_{c}") for c in ("key", "stretch", "secret", "start", "end")])
+    near = (F.col("_start") < F.col("end") + scope) & (F.col("start") < F.col("_end") + scope)
     kept = asks.join(
         stands,
         (F.col("key") == F.col("_key")) & (F.col("stretch") == F.col("_stretch")) & (F.col("secret") != F.col("_secret")) & near,
         "left_semi",
     )
-    return kept.groupBy("key").agg(S.ordered(F.collect_set("s"), (*BASE_KINDS, *WEAK_KINDS)).alias("linked"))
+    return kept.groupBy("key").agg(F.collect_set("i").alias("linked"))
 
 
 def secret_digests(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -103,6 +103,19 @@ def test_weak_parts_need_each_other(spark):
     }
 
 
+def test_long_parts_are_whole(spark):
+    rng = random.Random(6)
+    symbols = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    keys = ["Zx81" + "".join(rng.choices(symbols, k=n - 4)) for n in (76, 77, 80, 81, 86, 93, 1000, 200_000)]
+    rows = [(i, f"AccountName=x user=alice {key}== end") for i, key in enumerate(keys)]
+    rows += [(100, f"user={'nano.' * 100} {keys[4]}"), (101, f"https://{'sub.' * 100}example.com:8080 {keys[4]}"), (102, "n" * 300_000 + " user=alice")]
+    found = {r.doc_id: {s.kind: s.found for s in r.linked} for r in find_secrets(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all(found[i] == {"link_id": "user=alice", "link_secret": key} for i, key in enumerate(keys))
+    assert found[100] == {"link_id": f"user={'nano.' * 100}", "link_secret": keys[4]}
+    assert found[101] == {"link_endpoint": f"https://{'sub.' * 100}example.com:8080", "link_secret": keys[4]}
+    assert found[102] == {}
+
+
 def test_linked_parts_equal_all_pairs(spark):
     rng = random.Random(4)
     parts = ["user=alice", "Zx81kQ0pLm44TtRrWw92", "https://db.example.com", "password=abcdefgh1", "filler words " * 6, "\n"]
