@@ -63,8 +63,8 @@ def base_spans(text: Column) -> Column:
 def weak_spans(text: Column) -> Column:
     """Weak candidates of all kinds."""
     ids = S.spans_of(text, "link_id", WEAK_ID, text.rlike("[:=]"))
-    # Only a text with a digit after or before a letter in one long word can hold a random string.
-    mixed = text.rlike("[A-Za-z][0-9]|[0-9][A-Za-z]")
+    # Only a text with a digit and a run of 20 characters can hold a random string.
+    mixed = text.rlike("[0-9]") & text.rlike("(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20}")
     secrets = S.spans_of(text, "link_secret", WEAK_SECRET, mixed)
     endpoints = S.spans_of(text, "link_endpoint", WEAK_ENDPOINT, text.contains("://"))
     return F.concat(ids, secrets, endpoints)

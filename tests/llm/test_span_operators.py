@@ -116,6 +116,22 @@ def test_long_parts_are_whole(spark):
     assert found[102] == {}
 
 
+def test_prefilters_hold_for_every_match(spark, monkeypatch):
+    pieces = [*SECRET_PIECES, "abcdefghijklmnop", "qrstuvwxyz", "1234567890", "12345678901234567890", "-", "_", "+", "/", "user=alice ",
+              "https", "://", "db.example.com", "a" * 31, "TOKEN", "Secret", "PASSWORD:"]
+    rows = [(-1, "user=alice abcdefghijklmnop-1234567890"), (-2, "x")]
+    rows += [(i, "".join(pieces[j] for j in random.Random(i).choices(range(len(pieces)), k=i % 9))) for i in range(1500)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+
+    def spans():
+        return {r.doc_id: (r.base, r.weak) for r in df.select("doc_id", secrets.base_spans(df.text).alias("base"), secrets.weak_spans(df.text).alias("weak")).collect()}
+
+    found, spans_of = spans(), secrets.S.spans_of
+    monkeypatch.setattr(secrets.S, "spans_of", lambda text, kind, pattern, where=None: spans_of(text, kind, pattern))
+    assert found == spans() and kinds_of(found[-1][1]) == ["link_id", "link_secret"]
+    assert {s.kind for base, weak in found.values() for s in [*base, *weak]} == {*secrets.BASE_KINDS, *secrets.WEAK_KINDS}
+
+
 def test_linked_parts_equal_all_pairs(spark):
     rng = random.Random(4)
     parts = ["user=alice", "Zx81kQ0pLm44TtRrWw92", "https://db.example.com", "password=abcdefgh1", "filler words " * 6, "\n"]
