@@ -4,9 +4,9 @@ Fixed rules drop what is broken anywhere. Beyond them each measure of a document
 is held against limits of its language and source: the quartiles of the measure
 in that group, widened by a multiple of the distance between them. The quartiles
 come from quantile sketches that map tasks build and reducers merge, so a group
-of any size costs a sketch per task. Groups with few documents take the limits of
-their language, and those of few the limits of all documents, from merged
-sketches of the same kind.
+of any size costs a sketch per task. The limits of a group are blended with those of
+its language, and these with the limits of all documents, from merged sketches of the
+same kind. The weights follow the counts at every size, so no limit jumps as data grow.
 
 A limit lies far outside the quartiles, and a small floor under their distance
 keeps a uniform group from losing its own. A group reaches beyond the limits of its
@@ -29,8 +29,8 @@ WINDOW = 5
 LEAST_WORDS = 10
 MOST_REPEATED = 20  # per cent of the words
 
-# Least documents of a group with limits of its own, widening in quartile
-# distances, and the sketches' accuracy.
+# Documents of a group whose own limits weigh as much as those above it, widening in
+# quartile distances, and the sketches' accuracy.
 LEAST_GROUP = 100
 WIDENING = 4.0
 ACCURACY = 2000
@@ -124,12 +124,12 @@ def _reach(name: str) -> Column:
     )
 
 
-def _within(own: Column, above: Column, enough: Column) -> Column:
-    """Limits of a group, given those of the larger group above it."""
+def _within(own: Column, above: Column, weight: Column) -> Column:
+    """Limits of a group, given those of the larger group above it and the weight of its own."""
     low = F.greatest(own["low"], F.least(above["low"], own["low_alone"]))
     high = F.least(own["high"], F.greatest(above["high"], own["high_alone"]))
     return F.struct(
-        F.when(enough, low).otherwise(above["low"]).alias("low"), F.when(enough, high).otherwise(above["high"]).alias("high")
+        *[(above[side] + weight * (limit - above[side])).alias(side) for side, limit in (("low", low), ("high", high))]
     )
 
 
@@ -157,8 +157,10 @@ def group_limits(rows: DataFrame) -> DataFrame:
         )
 
     def settled(tag: str, above: Column) -> Column:
-        enough = F.col(f"docs_{tag}") >= LEAST_GROUP
-        return F.struct(*[_within(F.col(f"limits_{tag}")[name], above[name], enough).alias(name) for name in names])
+        # By squares of the counts: half at LEAST_GROUP documents, nine tenths at three times as many.
+        docs = F.col(f"docs_{tag}").cast("double")
+        weight = docs * docs / (docs * docs + float(LEAST_GROUP) ** 2)
+        return F.struct(*[_within(F.col(f"limits_{tag}")[name], above[name], weight).alias(name) for name in names])
 
     overall = reaches(merged(), "all").first()["limits_all"]  # one row
     of_all = F.struct(

@@ -110,6 +110,19 @@ def test_junk_of_a_source_does_not_lift_its_limits(spark):
     assert all(kept[2000 + i] == (i % 5 < 3) for i in range(300))
 
 
+def test_limits_move_smoothly_with_the_size_of_a_group(spark):
+    names = list(Q.MEASURES)
+    rows = [("en", "big", 0.0)] * 2000 + [("de", "big", 0.0)] * 2000
+    for n in (30, 60, 98, 99, 100, 101, 150, 300):
+        rows += [("en", f"s{n}", 0.2 + 0.0001 * i / n) for i in range(n)]
+    schema = "lang string, source string, " + ", ".join(f"{name} double" for name in names)
+    df = spark.createDataFrame([(lang, source, *[x] * len(names)) for lang, source, x in rows], schema)
+    found = {(r.lang, r.source): r.limits.symbol_share.high for r in Q.group_limits(df).collect()}
+    high = [found["en", f"s{n}"] for n in (30, 60, 98, 99, 100, 101, 150, 300)]
+    assert found["en", "big"] < high[0] < high[1] < high[2] and high == sorted(high)
+    assert high[5] - high[2] < 0.01 and high[7] - high[0] > 0.1
+
+
 # Quality classifier
 
 
