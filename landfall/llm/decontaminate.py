@@ -5,9 +5,10 @@ nothing else. A document's words are streamed through it while the length of the
 longest run that ends at each word is tracked. A run of ``window`` words, or of a
 whole shorter item, is an occurrence; its words are hit.
 
-The automaton is built on the driver from the benchmark, whose number of words is
-checked: a larger one is split into groups of items, one pass each, so that what
-is broadcast stays bounded.
+The automata are built on the driver from the benchmark, whose number of words is
+checked: a larger one is split into groups of items with an automaton each, which
+bounds one broadcast but not their sum. The driver and every worker hold all of
+them at once, about a kilobyte a word of the whole benchmark.
 
 NULL and empty texts have no words, neither hit documents nor hit them. Items
 that repeat an id are listed once, items without an id hit words but are not
