@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from landfall.bindings.registry import Query, table
 from landfall.llm import bpe, chat, token_files, warc
+from landfall.llm.centroids import clustered
 from landfall.llm.decontaminate import contamination
+from landfall.llm.embedding_dedup import vector_links
+from landfall.llm.hard_negatives import hard_negatives
 from landfall.llm.jaccard_join import near_duplicates
 from landfall.llm.personal_data import personal_digests
 from landfall.llm.quality_classifier import quality_scores
@@ -200,3 +203,101 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed.cast("binary"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+# All pairs are compared, and links are followed row by row.
+@query("""
+    with recursive vectors as (
+        select vec_id, cast(embedding as double[]) as v from embeddings
+    ), usable as (
+        select vec_id, v, list_dot_product(v, v) as square from vectors
+        where len(list_filter(v, lambda x: x is null or not isfinite(x))) = 0 and list_dot_product(v, v) > 0
+    ), links as (
+        select a.vec_id as a, b.vec_id as b from usable a join usable b on a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+        where list_dot_product(a.v, b.v) / (sqrt(a.square) * sqrt(b.square)) >= 0.9
+    ), reached(a, b) as (
+        select vec_id, vec_id from embeddings
+        union select reached.a, links.b from reached join links on reached.b = links.a
+    ), components as (
+        select a as vec_id, min(b) as component_id from reached group by 1
+    ), counted as (
+        select a as vec_id, count(*) as n_links from links group by 1
+    )
+    select vec_id, coalesce(n_links, 0) as n_links, component_id, vec_id = component_id as kept
+    from components left join counted using (vec_id)
+""")
+def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors linked at a cosine of 0.9."""
+    return vector_links(table(spark, sf_dir, "embeddings"))
+
+
+@query("""
+    with rows as (
+        select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+               list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+        from embeddings
+        where label is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    ), scored as (
+        select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same,
+               cast(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i])) as bigint) as score
+        from rows a join rows b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id
+    ), positives as (
+        select anchor_id, other_id as positive_id, score as positive_score from scored where same
+        qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5
+    )
+    select anchor_id, positive_id, other_id as negative_id, positive_score, score as negative_score,
+           cast(row_number() over (partition by anchor_id, positive_id order by score desc, other_id) as integer) as rank
+    from positives join scored using (anchor_id)
+    where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+    qualify rank <= 3
+""")
+def op12_hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector; every seventh first gets the next label."""
+    rows = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    )
+    return hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
+def _rounds(count: int) -> str:
+    """SQL of the rounds of centroid clustering, one after the other."""
+    distance = "list_sum(list_transform(range(1, 65), lambda i: (v[i] - c[i]) * (v[i] - c[i])))"
+    steps = []
+    for number in range(count + 1):
+        steps.append(f"""
+            near{number} as (
+                select row, arg_min(cluster, (distance, cluster)) as cluster, min(distance) as distance
+                from (select row, cluster, {distance} as distance from kept cross join centres{number}) group by row
+            )""")
+        if number < count:
+            steps.append(f"""
+            centres{number + 1} as (
+                select cluster, coalesce(m, c) as c from centres{number} left join (
+                    select cluster, list(cast(floor(x / n) as bigint) order by i) as m from (
+                        select cluster, i, sum(v[i]) as x, count(*) as n
+                        from near{number} join kept using (row) cross join range(1, 65) t(i) group by cluster, i
+                    ) group by cluster
+                ) using (cluster)
+            )""")
+    return ",".join(steps)
+
+
+@query(f"""
+    with kept as (
+        select vec_id, row_number() over (order by vec_id) as row,
+               list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as v
+        from embeddings
+        where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    ), centres0 as (
+        select cast(row_number() over (order by sha256('1:' || vec_id), v) - 1 as integer) as cluster, v as c
+        from kept order by sha256('1:' || vec_id), v limit 16
+    ), {_rounds(3)}
+    select vec_id, cluster, cast(distance as bigint) as distance,
+           cast(sum(distance) over (partition by cluster) as bigint) as cluster_inertia,
+           cast(sum(distance) over () as bigint) as inertia,
+           sha256(array_to_string(c, ',')) as centroid_sha256
+    from near3 join kept using (row) join centres3 using (cluster)
+""")
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen centroids after three rounds, and each vector's distance to its own."""
+    return clustered(table(spark, sf_dir, "embeddings"))
