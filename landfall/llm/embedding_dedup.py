@@ -2,8 +2,10 @@
 
 * **Codes.** Principal directions of a bounded sample are rotated so that signs lose
   least (iterative quantisation, from ``ROTATIONS`` starts, or more for short
-  vectors), and each bit is cut at its median in the sample, which balances it.
-  Every vector gets a code of ``BITS`` bits.
+  vectors). Each bit is cut in the widest gap around its median in the sample, which
+  balances it. The sample holds one vector of each group of near copies, or else
+  large groups would draw the cuts into their midst. Every vector gets a code of
+  ``BITS`` bits.
 * **Balls.** Groups of near copies would put all their pairs into a few buckets.
   Where a bucket is far fuller than an even spread makes it, its mean direction
   becomes the centre of a ball, and vectors of the bucket within half the linking
@@ -12,7 +14,7 @@
   row a member. All other vectors are centres of their own.
 * **Tables.** Codes are cut into substrings of ``PART`` bits. Two centres are
   candidates if some substring differs in one bit at most and the whole codes in at
-  most ``LIMIT`` bits. A pair that differs in one bit is met from the side where that
+  most ``LIMIT`` bits (more if planted pairs do). A pair that differs in one bit is met from the side where that
   bit is set, so a table holds one row per centre and is asked about half of them
   besides.
 * **Rerank.** Candidates are compared by the cosine of the vectors themselves. For
@@ -22,7 +24,7 @@
 
 Linked are pairs with a cosine of at least ``threshold`` in double precision and no
 others. Candidate search is approximate: a pair at the threshold of 0.9 is found with
-a probability of about 0.95, at 0.95 with 0.99, beyond with more; tests measure the
+a probability of about 0.94, at 0.95 with 0.99, beyond with more; tests measure the
 recall against all pairs. Components join what links connect.
 
 Equal vectors are looked at once and linked with each other. Rows that repeat an id
@@ -49,11 +51,14 @@ from landfall.llm.vectors import binary_rows, doubles, from_binary, is_finite, l
 from landfall.llm.words import tidy
 from landfall.session import materialize
 
-# Bits in a code, in a substring, and by how many codes of candidates may differ. Vectors
-# at a cosine of 0.9 differ in 18 bits on average (deviation 4), unrelated ones in 64 (6).
+# Bits in a code, in a substring, and by how many codes of candidates may differ at least.
+# Vectors at a cosine of 0.9 differ in 18 bits on average (deviation 4), unrelated ones in 64 (6).
 BITS = 128
 PART = 16
 LIMIT = 40
+
+# The share of pairs at the threshold that the tables should find in the sample.
+RECALL = 0.93
 ROTATIONS = 2
 TURNS = 30
 
@@ -82,6 +87,7 @@ class Codes:
     mean: np.ndarray
     directions: np.ndarray
     cuts: np.ndarray
+    limit: int  # how many bits of candidates may differ
 
     def bits(self, units: np.ndarray) -> np.ndarray:
         return (units - self.mean) @ self.directions > self.cuts
@@ -92,10 +98,44 @@ class Codes:
         return np.ascontiguousarray(packed).view("<i8")
 
 
-def learned_codes(units: np.ndarray, seed: int = SEED) -> Codes:
+def thinned(units: np.ndarray, threshold: float, step: int = 256) -> np.ndarray:
+    """Rows without those that lie near an earlier row that is kept."""
+    kept = units[:0]
+    for start in range(0, len(units), step):
+        new = units[start : start + step]
+        new = new[(new @ kept.T < threshold).all(axis=1)]
+        close = new @ new.T >= threshold
+        chosen: list[int] = []
+        for row in range(len(new)):
+            if not close[row, chosen].any():
+                chosen.append(row)
+        kept = np.concatenate((kept, new[chosen]))
+    return kept
+
+
+def balanced_cuts(values: np.ndarray) -> np.ndarray:
+    """For each column the middle of the widest gap between its values around the median."""
+    ordered = np.sort(values, axis=0)
+    last = len(ordered) - 1
+    middle = ordered[math.floor(0.4 * last) : math.ceil(0.6 * last) + 1]
+    if len(middle) < 2:
+        return middle[0] - 0.5
+    gap = np.diff(middle, axis=0).argmax(axis=0)
+    columns = np.arange(values.shape[1])
+    return (middle[gap, columns] + middle[gap + 1, columns]) / 2
+
+
+def planted(units: np.ndarray, cosine: float, seed: int = SEED) -> np.ndarray:
+    """For each row a unit vector at a given cosine to it, in a random direction."""
+    noise = np.random.default_rng(seed).standard_normal(units.shape)
+    noise -= (noise * units).sum(axis=1)[:, None] * units
+    size = np.linalg.norm(noise, axis=1)[:, None]
+    return cosine * units + math.sqrt(1 - cosine * cosine) * noise / np.where(size > 0, size, 1.0)
+
+
+def _quantised(units: np.ndarray, mean: np.ndarray, balanced: bool, seed: int) -> Codes:
     """Iterative quantisation: rotations that bring principal directions close to their signs."""
     rng = np.random.default_rng(seed)
-    mean = units.mean(axis=0)
     width = min(units.shape[1], BITS // ROTATIONS)
     _, axes = np.linalg.eigh((units - mean).T @ (units - mean))
     axes = axes[:, ::-1][:, :width]
@@ -109,7 +149,34 @@ def learned_codes(units: np.ndarray, seed: int = SEED) -> Codes:
             rotation = left @ right
         found.append(axes @ rotation)
     directions = np.concatenate(found, axis=1)[:, :BITS]
-    return Codes(mean, directions, np.median((units - mean) @ directions, axis=0))
+    cuts = balanced_cuts((units - mean) @ directions) if balanced else np.zeros(BITS)
+    return Codes(mean, directions, cuts, LIMIT)
+
+
+def table_recall(differing: np.ndarray) -> float:
+    """The share of pairs, given the bits in which they differ, that some table finds."""
+    return float((differing.reshape(len(differing), -1, PART).sum(axis=2) <= 1).any(axis=1).mean())
+
+
+def learned_codes(units: np.ndarray, threshold: float, seed: int = SEED) -> Codes:
+    """Codes that are balanced as far as pairs planted at the threshold are still found.
+
+    Where vectors crowd around their mean, cuts through it tear such pairs apart; then
+    cuts through half the mean, or through the origin, take their place.
+    """
+    near = planted(units, threshold, seed)
+    best = None
+    for share in (1.0, 0.5, 0.0):
+        codes = _quantised(units, share * units.mean(axis=0), share > 0, seed)
+        differing = codes.bits(units) != codes.bits(near)
+        recall = table_recall(differing)
+        if best is None or recall > best[0]:
+            total = differing.sum(axis=1)
+            codes.limit = max(LIMIT, math.ceil(total.mean() + 5 * total.std()))
+            best = recall, codes
+        if best[0] >= RECALL:
+            break
+    return best[1]
 
 
 def _units(x: np.ndarray) -> np.ndarray:
@@ -210,7 +277,7 @@ def _balls(coded: DataFrame, count: int, width: int, radius: float) -> tuple[Dat
     return materialize(chosen.select("id", "ball.key", "ball.angle")), centres
 
 
-def _candidates(centres: DataFrame) -> DataFrame:
+def _candidates(centres: DataFrame, limit: int) -> DataFrame:
     """Pairs of centres whose codes agree in a substring up to one bit, and as a whole nearly."""
     own = centres.select("centre_id", "words", F.explode("keys").alias("key"))
     bits = F.array(*(F.lit(1 << b).cast("long") for b in range(PART)))
@@ -229,7 +296,7 @@ def _candidates(centres: DataFrame) -> DataFrame:
         F.bit_count(F.col("words")[i].bitwiseXOR(F.col("b_words")[i])) for i in range(BITS // 64)
     )
     pairs = own.withColumnRenamed("centre_id", "a").join(asked, "key")
-    pairs = pairs.filter((F.col("flipped") | (F.col("a") < F.col("b"))) & (differing <= LIMIT))
+    pairs = pairs.filter((F.col("flipped") | (F.col("a") < F.col("b"))) & (differing <= limit))
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -325,10 +392,10 @@ def vector_links(
     distinct = _distinct(digested).withColumn("length", F.size("vector"))
     sample = distinct.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("vector").toArrow().column("vector")
     if len(sample):
-        units = _units(matrix(sample.combine_chunks(), width))
+        units = thinned(_units(matrix(sample.combine_chunks(), width)), threshold)
     else:
         units = np.eye(1, width)
-    codes = learned_codes(units)
+    codes = learned_codes(units, threshold)
     keys = _substrings(F.col("words"), F.col("length"))
     coded = materialize(_coded(distinct, codes, width).withColumn("keys", keys))
     radius = math.acos(threshold) / 2 - SLACK
@@ -356,7 +423,7 @@ def vector_links(
     shells = _coded(shells, codes, width).withColumn("keys", keys)
     centres = materialize(points.unionByName(shells.select(*points.columns)))
 
-    judged = materialize(_judged(_candidates(centres), centres, width, threshold))
+    judged = materialize(_judged(_candidates(centres, codes.limit), centres, width, threshold))
     every = judged.filter("every").select("a", "b")
     mixed = judged.filter("not every").select("a", "b")
     open_ids = mixed.select(F.explode(F.array("a", "b")).alias("centre_id")).distinct()
