@@ -2,9 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from landfall import plans
 from landfall.bindings import adapters
 from landfall.bindings.registry import query, table
-from landfall.operators import accepted, project, split_dictionary
+from landfall.operators import QualityError, accepted, project, split_dictionary
 from landfall.session import scratch_path
 from landfall.sources import (
     land,
@@ -82,6 +83,55 @@ def month_append(spark, sf_dir):
     )
 
 
+def _guarded_loads(spark, sf_dir):
+    """All months arrive; then April 1996 with records that repeat, May corrected, and May once more under the same name."""
+    keys = ["yr", "mon", "port"]
+    path = scratch_path(spark, "guarded")
+    orders = _monthly_orders(spark, sf_dir)
+    april, may = (orders.filter((F.col("yr") == 1996) & (F.col("mon") == month)) for month in (4, 5))
+    corrected = may.filter("port <> '003'").withColumn("o_totalprice", -F.col("o_totalprice"))
+    plans.load_months(orders, path, "all months", ["o_orderkey"], keys)
+    try:
+        plans.load_months(april.union(april.filter("o_orderkey % 2 = 0")), path, "April again", ["o_orderkey"], keys)
+    except QualityError:
+        pass  # as it should: the ledger tells
+    for rows in (corrected, may):
+        plans.load_months(rows, path, "May corrected", ["o_orderkey"], keys)
+    return path
+
+
+@query("""
+    select o_orderkey, case when yr = 1996 and mon = 5 then -o_totalprice else o_totalprice end as o_totalprice, yr, mon, port
+    from (
+        select o_orderkey, o_totalprice, cast(year(o_orderdate) as integer) as yr,
+               cast(month(o_orderdate) as integer) as mon, '00' || translate(o_orderstatus, 'FOP', '123') as port
+        from orders
+    ) where not (yr = 1996 and mon = 5 and port = '003')
+""")
+def guarded_months(spark, sf_dir):
+    """What is stored after a rejected and a corrected load."""
+    stored = read_table(spark, _guarded_loads(spark, sf_dir), _MONTHLY)
+    return stored.select("o_orderkey", "o_totalprice", "yr", "mon", "port")
+
+
+@query("""
+    with months as (
+        select cast(year(o_orderdate) as integer) as year, cast(month(o_orderdate) as integer) as month, count(*) as n,
+               count(*) filter (o_orderkey % 2 = 0) as even, count(*) filter (o_orderstatus <> 'P') as corrected
+        from orders group by all
+    )
+    select 'all months' as load, year, month, n as rows, n as different, 'published' as status from months
+    union all
+    select 'April again', year, month, n + even, n, 'rejected' from months where year = 1996 and month = 4
+    union all
+    select 'May corrected', year, month, corrected, corrected, 'published' from months where year = 1996 and month = 5
+""")
+def load_ledger(spark, sf_dir):
+    """What the ledger tells about the loads."""
+    history = plans.load_history(spark, _guarded_loads(spark, sf_dir))
+    return plans.last_steps(history).select("load", "year", "month", "rows", "different", "status")
+
+
 @query("""
     select n_name as "City", r_name as "State", c_mktsegment as "Race", count(*) as "Count"
     from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey

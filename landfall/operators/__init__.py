@@ -22,6 +22,7 @@ from landfall.operators.labels import (
 from landfall.operators.lookup import add_label, conform, keep_valid_codes, require_not_null
 from landfall.operators.quality import (
     QualityError,
+    check_counts,
     check_no_rejects,
     check_non_empty,
     check_unique,
@@ -40,6 +41,7 @@ __all__ = [
     "add_label",
     "append_members",
     "attach",
+    "check_counts",
     "check_no_rejects",
     "check_non_empty",
     "check_unique",

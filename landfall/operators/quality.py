@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall.operators.sets import union_sources
@@ -38,6 +38,12 @@ def check_non_empty(tables: Mapping[str, DataFrame]) -> DataFrame:
     return union_sources(*results)
 
 
+def check_counts(spark: SparkSession, counts: Sequence[tuple[str, str, int, int, bool]]) -> DataFrame:
+    """Checks of counts that are known already, such as those a write has taken: check, target, measured, expected, passed."""
+    layout = "check string, target string, measured bigint, expected bigint, passed boolean"
+    return spark.createDataFrame(list(counts), layout)
+
+
 def check_unique(df: DataFrame, keys: Sequence[str], target: str) -> DataFrame:
     """Number of different keys against number of rows, NULL being a key too."""
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))

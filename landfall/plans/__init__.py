@@ -31,6 +31,7 @@ from landfall.plans.jobs import (
     run_fact,
     run_ports,
 )
+from landfall.plans.loads import finish_loads, last_steps, load_history, load_months
 
 __all__ = [
     "UNKNOWN_PORTS",
@@ -47,6 +48,10 @@ __all__ = [
     "city_shares",
     "clean_airports",
     "fact_checks",
+    "finish_loads",
+    "last_steps",
+    "load_history",
+    "load_months",
     "month_keys",
     "parse_abroad_ports",
     "parse_us_ports",

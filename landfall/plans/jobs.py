@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall import schemas
-from landfall.operators import check_non_empty, check_unique, enforce, union_sources
+from landfall.operators import check_counts, check_non_empty, check_unique, enforce, union_sources
 from landfall.plans.analytics import city_list
 from landfall.plans.dictionaries import build_addresses, build_countries, build_port_codes, build_ports
 from landfall.plans.dimensions import build_airports, build_city_demo, clean_airports
 from landfall.plans.fact import build_fact
+from landfall.plans.loads import load_months
 from landfall.session import materialize
 from landfall.sources import (
+    Written,
     locate,
     read_arrivals,
     read_csv,
@@ -20,7 +24,6 @@ from landfall.sources import (
     read_table,
     states,
     write_csv,
-    write_months,
     write_table,
 )
 
@@ -31,21 +34,18 @@ def run_fact(
     addresses_path: str,
     lake_path: str,
     fmt: str = "parquet",
+    load: str | None = None,
 ) -> None:
-    """Build and store the months of an extract, then check what this load has stored.
+    """Build the months of an extract, check them, and store them if they pass.
 
     The months are those of the extract, so an extract without rows fails even
-    if earlier months are stored. Record numbers must differ within a month.
+    if earlier months are stored. Record numbers must differ within a month. A
+    load that fails leaves the stored months as they were; see
+    :mod:`landfall.plans.loads`. With a name, ``load``, it is stored once only.
     """
     raw = read_arrivals(spark, extract_path, fmt)
     addresses = read_csv(spark, addresses_path, schemas.ADDRESSES)
-    target = locate(lake_path, "I94_data")
-    months = raw.filter("i94port is not null").select(
-        F.col("i94yr").cast("int").alias("i94yr"), F.col("i94mon").cast("int").alias("i94mon")
-    )
-    loaded = [(r.i94yr, r.i94mon) for r in months.distinct().collect()]  # a few months
-    write_months(build_fact(raw, addresses), target)
-    enforce(fact_checks(read_table(spark, target, schemas.FACT) if loaded else build_fact(raw, addresses), loaded))
+    load_months(build_fact(raw, addresses), locate(lake_path, "I94_data"), load or uuid.uuid4().hex)
 
 
 def fact_checks(fact: DataFrame, months: list[tuple[int, int]]) -> DataFrame:
@@ -72,12 +72,13 @@ def run_dimensions(
     airports = read_table(spark, airports_path, schemas.CLEAN_AIRPORTS)
     cities = read_csv(spark, cities_path, schemas.RAW_CITIES, sep=";")
     targets = {name: locate(lake_path, name) for name in ("airports", "cities_demo")}
-    write_table(build_airports(airports, ports), targets["airports"])
-    write_table(build_city_demo(cities, ports), targets["cities_demo"])
+    counts = {name: Written() for name in targets}
+    write_table(build_airports(airports, ports), targets["airports"], counts=counts["airports"])
+    write_table(build_city_demo(cities, ports), targets["cities_demo"], counts=counts["cities_demo"])
     stored = {name: read_table(spark, path) for name, path in targets.items()}
     enforce(
         union_sources(
-            check_non_empty(stored),
+            check_counts(spark, [("non_empty", n, c["rows"], 1, c["rows"] > 0) for n, c in counts.items()]),
             check_unique(stored["airports"], ["ident", "code"], "airports"),
             check_unique(stored["cities_demo"], ["code", "Race"], "cities_demo"),
         )
@@ -107,9 +108,10 @@ def run_addresses(spark: SparkSession, lines_path: str, clean_path: str) -> None
 
 def _store(spark: SparkSession, df: DataFrame, clean_path: str, name: str, schema: str, key: str) -> None:
     path = locate(clean_path, name)
-    write_csv(df, path)
-    stored = read_csv(spark, path, schema)
-    enforce(union_sources(check_non_empty({name: stored}), check_unique(stored, [key], name)))
+    counts = Written()
+    write_csv(df, path, counts=counts)
+    non_empty = check_counts(spark, [("non_empty", name, counts["rows"], 1, counts["rows"] > 0)])
+    enforce(union_sources(non_empty, check_unique(read_csv(spark, path, schema), [key], name)))
 
 
 def run_airport_source(

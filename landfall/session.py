@@ -91,6 +91,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in any file system that Spark can open."""
+    files, target = _file_system(spark, path)
+    return files.exists(target)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder with all it holds; a missing one is no error."""
+    files, target = _file_system(spark, path)
+    files.delete(target, True)
+
+
 def release_scratch(spark: SparkSession, keep: int = 0) -> int:
     """Delete what was written to this application's scratch paths but the first ``keep``; returns their number.
 
@@ -99,8 +116,7 @@ def release_scratch(spark: SparkSession, keep: int = 0) -> int:
     paths = _SCRATCH[spark.sparkContext.applicationId]
     gone, paths[keep:] = paths[keep:], []
     for path in gone:
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        delete_path(spark, path)
     return len(gone)
 
 

@@ -9,11 +9,13 @@ from landfall.sources.readers import (
     read_labels,
     read_table,
 )
-from landfall.sources.writers import replace_month, write_csv, write_months, write_table
+from landfall.sources.writers import MONTH_KEYS, Written, replace_month, write_csv, write_months, write_table
 
 __all__ = [
     "MODE_LABELS",
+    "MONTH_KEYS",
     "VISA_LABELS",
+    "Written",
     "land",
     "literal_table",
     "locate",

@@ -11,17 +11,37 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 MONTH_KEYS = ("i94yr", "i94mon", "i94port")
 
 
-def _partitioned(df: DataFrame, keys: Sequence[str], clustered: bool):
-    if not keys:
-        return df.write
-    rows = df if clustered else df.hint("rebalance", *keys)
-    return rows.write.partitionBy(*keys)
+class Written:
+    """Counts that the writing tasks take of what they write, so that nothing is read again for them.
+
+    ``rows`` is always counted; further conditions by name. Each task that writes
+    counts once, even if it had to be repeated elsewhere, since counts are taken
+    after the last shuffle.
+    """
+
+    def __init__(self, **conditions: Column):
+        self._observation = Observation()
+        self._counts = [F.count_if(condition).alias(name) for name, condition in conditions.items()]
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        return df.observe(self._observation, F.count(F.lit(1)).alias("rows"), *self._counts)
+
+    def __getitem__(self, name: str) -> int:
+        """A count, once the rows have been written."""
+        return self._observation.get[name]
+
+
+def _partitioned(df: DataFrame, keys: Sequence[str], clustered: bool, counts: Written | None = None):
+    rows = df if clustered or not keys else df.hint("rebalance", *keys)
+    if counts is not None:
+        rows = counts.watch(rows)
+    return rows.write.partitionBy(*keys) if keys else rows.write
 
 
 def write_table(
@@ -31,10 +51,11 @@ def write_table(
     mode: str = "errorifexists",
     fmt: str = "parquet",
     clustered: bool = False,
+    counts: Written | None = None,
     **options,
 ) -> None:
-    """Write a table, by default failing if it exists."""
-    _partitioned(df, keys, clustered).mode(mode).format(fmt).options(**options).save(path)
+    """Write a table, by default failing if it exists. ``counts`` are taken on the way."""
+    _partitioned(df, keys, clustered, counts).mode(mode).format(fmt).options(**options).save(path)
 
 
 def write_csv(
