@@ -11,13 +11,16 @@ from landfall.plans.analytics import (
     visitor_ports,
 )
 from landfall.plans.dictionaries import (
+    SECTIONS,
     UNKNOWN_PORTS,
     build_addresses,
     build_countries,
+    build_dictionaries,
     build_port_codes,
     build_ports,
     parse_abroad_ports,
     parse_us_ports,
+    split_ports,
 )
 from landfall.plans.dimensions import build_airports, build_city_demo, city_shares, clean_airports
 from landfall.plans.fact import build_fact
@@ -27,6 +30,7 @@ from landfall.plans.jobs import (
     run_airport_source,
     run_city_list,
     run_countries,
+    run_dictionaries,
     run_dimensions,
     run_fact,
     run_ports,
@@ -34,12 +38,14 @@ from landfall.plans.jobs import (
 from landfall.plans.loads import finish_loads, last_steps, load_history, load_months
 
 __all__ = [
+    "SECTIONS",
     "UNKNOWN_PORTS",
     "arrivals_with_country",
     "build_addresses",
     "build_airports",
     "build_city_demo",
     "build_countries",
+    "build_dictionaries",
     "build_fact",
     "build_port_codes",
     "build_ports",
@@ -60,9 +66,11 @@ __all__ = [
     "run_airport_source",
     "run_city_list",
     "run_countries",
+    "run_dictionaries",
     "run_dimensions",
     "run_fact",
     "run_ports",
+    "split_ports",
     "top_ports",
     "traffic",
     "visitor_ports",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +35,12 @@ UNKNOWN_PORTS = [
     ("UNK", "UNKNOWN POE", "UNKNOWN POE", "UNKNOWN POE", "UNKNOWN POE"),
 ]
 
+# The sections of the delivered label file that hold the dictionaries.
+SECTIONS = {"ports": "i94prtl", "countries": "i94cntyl", "addresses": "i94addrl"}
+
+# Remarks behind a state, in brackets or after a number sign.
+REMARKS = r"\s*(?:\([^)]*\)|#\s*\w+)"
+
 PORT_COLUMNS = ["code", "port", "locality", "province", "territory"]
 
 
@@ -59,6 +65,54 @@ def parse_abroad_ports(lines: DataFrame) -> DataFrame:
     return place_parts(entries, "label", ["locality", "province", "territory"], "port")
 
 
+def split_ports(lines: DataFrame, states: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Lines of one section with all ports, as lines for :func:`parse_us_ports` and :func:`parse_abroad_ports`.
+
+    A label that ends in a state, abbreviated or in full, maybe with a remark, is a
+    port in that state, and so is one that ends in any two letters, which will be
+    reported as unknown. What is no entry, or withdrawn, goes with the former too. All
+    others are abroad, with an empty province if they have but two parts.
+    """
+    entries = flag_withdrawn(split_dictionary(lines, ["code", "label"]), "label")
+    parts = F.split("label", ",")
+    last = F.upper(F.trim(F.regexp_replace(F.element_at(parts, -1), REMARKS, "")))
+    names = states.select(F.upper("state").alias("name"), "abbreviation").union(states.select("abbreviation", "abbreviation"))
+    entries = entries.withColumns({"_parts": F.size(parts), "_last": last})
+    named = add_label(entries, "_last", names, "name", "abbreviation", name="_state", default=F.col("_last"))
+    odd = F.col("problem").isNotNull() | (F.col("_parts") < 2)
+    within = F.coalesce(F.col("_state").rlike("^[A-Z]{2}$"), F.lit(False))
+    front = F.regexp_extract("label", r"^(.*),[^,]*$", 1)
+    quoted = F.lit("'")
+    us = named.filter(odd | within).select(
+        F.when(odd, F.col("value"))
+        .otherwise(F.concat(quoted, "code", F.lit("' = '"), front, F.lit(", "), "_state", quoted))
+        .alias("value")
+    )
+    padded = F.when(F.col("_parts") == 2, F.concat(front, F.lit(", , "), F.element_at(parts, -1))).otherwise(F.col("label"))
+    abroad = named.filter(~odd & ~within).select(
+        F.concat(quoted, "code", F.lit("' = '"), padded, quoted).alias("value")
+    )
+    return us, abroad
+
+
+def build_dictionaries(
+    sections: DataFrame, states: DataFrame, continents: DataFrame, names: Mapping[str, str] = SECTIONS
+) -> dict[str, DataFrame]:
+    """``ports``, ``countries``, ``addresses`` and port ``problems`` from the sections of one label file.
+
+    ``sections`` is what :func:`~landfall.sources.read_label_sections` gives, ``names``
+    tells which section holds which dictionary.
+    """
+    lines = {name: sections.filter(F.col("section") == key).select("value") for name, key in names.items()}
+    ports, problems = build_ports(*split_ports(lines["ports"], states), states)
+    return {
+        "ports": ports,
+        "countries": build_countries(lines["countries"], continents),
+        "addresses": build_addresses(lines["addresses"], states),
+        "problems": problems,
+    }
+
+
 def build_ports(
     us_lines: DataFrame,
     abroad_lines: DataFrame,

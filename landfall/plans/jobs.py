@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 from landfall import schemas
 from landfall.operators import check_counts, check_non_empty, check_unique, enforce, union_sources
 from landfall.plans.analytics import city_list
-from landfall.plans.dictionaries import build_addresses, build_countries, build_port_codes, build_ports
+from landfall.plans.dictionaries import (
+    build_addresses,
+    build_countries,
+    build_dictionaries,
+    build_port_codes,
+    build_ports,
+)
 from landfall.plans.dimensions import build_airports, build_city_demo, clean_airports
 from landfall.plans.fact import build_fact
 from landfall.plans.loads import load_months
@@ -20,6 +26,7 @@ from landfall.sources import (
     locate,
     read_arrivals,
     read_csv,
+    read_label_sections,
     read_labels,
     read_table,
     states,
@@ -89,13 +96,26 @@ def run_ports(spark: SparkSession, us_path: str, abroad_path: str, clean_path: s
     """Ports and their codes from label files, as CSV; returns the lines to look at."""
     ports, problems = build_ports(read_labels(spark, us_path), read_labels(spark, abroad_path), states(spark))
     ports = materialize(ports)  # written twice
-    write_csv(ports, locate(clean_path, "ports"))
-    write_csv(build_port_codes(ports), locate(clean_path, "port_codes"))
-    stored = read_csv(spark, locate(clean_path, "ports"), schemas.PORTS)
-    enforce(union_sources(check_non_empty({"ports": stored}), check_unique(stored, ["code"], "ports")))
+    _store(spark, ports, clean_path, "ports", schemas.PORTS, "code")
+    _store(spark, build_port_codes(ports), clean_path, "port_codes", schemas.PORT_CODES, "code")
     return problems
 
 
+def run_dictionaries(
+    spark: SparkSession, label_path: str, continents: DataFrame, clean_path: str, across_files: bool = False
+) -> DataFrame:
+    """All dictionaries from the one delivered label file, as CSV; returns the port lines to look at."""
+    # The file is scanned once; each dictionary reads its section.
+    sections = materialize(read_label_sections(spark, label_path, across_files))
+    built = build_dictionaries(sections, states(spark), continents)
+    ports = materialize(built["ports"])  # written twice
+    _store(spark, ports, clean_path, "ports", schemas.PORTS, "code")
+    _store(spark, build_port_codes(ports), clean_path, "port_codes", schemas.PORT_CODES, "code")
+    _store(spark, built["countries"], clean_path, "countries", schemas.COUNTRIES, "cit_res_code")
+    _store(spark, built["addresses"], clean_path, "addresses", schemas.ADDRESSES, "i94addr")
+    return built["problems"]
+
+
 def run_countries(spark: SparkSession, lines_path: str, clean_path: str) -> None:
     """The countries dictionary from a label file, as CSV."""
     _store(spark, build_countries(read_labels(spark, lines_path)), clean_path, "countries", schemas.COUNTRIES, "cit_res_code")

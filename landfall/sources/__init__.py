@@ -9,6 +9,7 @@ from landfall.sources.readers import (
     read_labels,
     read_table,
 )
+from landfall.sources.sections import read_label_sections
 from landfall.sources.writers import MONTH_KEYS, Written, replace_month, write_csv, write_months, write_table
 
 __all__ = [
@@ -22,6 +23,7 @@ __all__ = [
     "modes",
     "read_arrivals",
     "read_csv",
+    "read_label_sections",
     "read_labels",
     "read_table",
     "replace_month",
