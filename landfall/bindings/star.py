@@ -465,13 +465,33 @@ def port_match_rate(spark, sf_dir):
     return match_rate(_fact(spark, sf_dir), known, {"i94port": "code"})
 
 
+def _dictionary_rows(spark, clean):
+    """The stored dictionaries in one table; NULL and empty text stay apart."""
+    unknown = [code for code, *_ in plans.UNKNOWN_PORTS]
+    ports = read_csv(spark, f"{clean}/ports", PORTS).filter(~F.col("code").isin(unknown))
+    countries = read_csv(spark, f"{clean}/countries", COUNTRIES)
+    addresses = read_csv(spark, f"{clean}/addresses", ADDRESSES)
+    none = F.lit(None).cast("string")
+    rows = [
+        ports.select(F.lit("ports").alias("dictionary"), "code", "port", "locality", "province", "territory"),
+        countries.select(F.lit("countries"), F.col("cit_res_code").cast("string"), "country", "continent", none, none),
+        addresses.select(F.lit("addresses"), "i94addr", "i94addr_US_state", none, none, none),
+    ]
+    return union_sources(*[r.toDF("dictionary", "code", "name", "locality", "province", "territory") for r in rows])
+
+
 @query("""
-    select 'ports' as dictionary, count(*) as entries from (
-        select s_suppkey from supplier join nation on s_nationkey = n_nationkey where n_regionkey <> 4
-        union all select c_custkey from customer
-    )
-    union all select 'countries', count(*) from customer
-    union all select 'addresses', count(*) from part
+    select 'ports' as dictionary, 'S' || s_suppkey as code, 'Dock' as name, n_name[1] || lower(n_name[2:]) as locality,
+           'Texas' as province, 'United States' as territory
+    from supplier join nation on s_nationkey = n_nationkey where n_regionkey <> 4
+    union all
+    select 'ports', 'C' || c_custkey, case when c_acctbal > 5000 then c_name || ' Airport' else '' end, n_name,
+           case when c_acctbal > 0 then r_name else '' end, c_mktsegment
+    from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey
+    union all
+    select 'countries', cast(c_custkey as varchar), lower(c_name), 'Asia', null, null from customer
+    union all
+    select 'addresses', cast(p_partkey as varchar), 'State Of Parts', null, null, null from part
 """)
 def stored_dictionaries(spark, sf_dir):
     """All dictionaries from label files, through their jobs and back from the stored CSV."""
@@ -492,12 +512,73 @@ def stored_dictionaries(spark, sf_dir):
     plans.run_ports(spark, f"{lines}/us", f"{lines}/abroad", clean)
     plans.run_countries(spark, f"{lines}/countries", clean)
     plans.run_addresses(spark, f"{lines}/addresses", clean)
-    unknown = [code for code, *_ in plans.UNKNOWN_PORTS]
-    stored = {
-        "ports": read_csv(spark, f"{clean}/ports", PORTS).filter(~F.col("code").isin(unknown)),
-        "countries": read_csv(spark, f"{clean}/countries", COUNTRIES),
-        "addresses": read_csv(spark, f"{clean}/addresses", ADDRESSES),
-    }
+    return _dictionary_rows(spark, clean)
+
+
+def _label_file(spark, sf_dir):
+    """All dictionaries as the lines of one delivered file: section, place in it, and text."""
+    nations = adapters.places(spark, sf_dir)
+    suppliers = table(spark, sf_dir, "supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
+    customers = table(spark, sf_dir, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    region = F.col("r_name")
+    state = (
+        F.when(region == "AFRICA", "AZ (BPS)").when(region == "AMERICA", "ALABAMA #INTL").when(region == "ASIA", "TX")
+        .when(region == "EUROPE", "New York").otherwise("ZZ")
+    )
+    # Every seventh code is collapsed into the one before.
+    moved = F.concat(F.lit("Collapsed (S"), (F.col("s_suppkey") - 1).cast("string"), F.lit(") 06/15"))
+    place = F.concat("n_name", F.lit(", "), state, F.lit("   "))
+    label = F.when(F.col("s_suppkey") % 7 == 6, moved).otherwise(place)
+    province = F.when(F.col("c_acctbal") > 0, F.concat("r_name", F.lit(", "))).otherwise("")
+
+    def lines(df, section, key, text):
+        return df.select(F.lit(section).alias("section"), F.col(key).alias("place"), text.alias("value"))
+
+    def quoted(prefix, key, sep, text):
+        return F.concat(F.lit(f"   '{prefix}"), F.col(key).cast("string"), F.lit(f"'{sep}'"), text, F.lit("'"))
+
+    # The places -2 and -1 come before a section's entries, the last one after them.
+    last = 1 << 40
+    fixed = [
+        (0, -2, "libname library 'anywhere' ;"), (0, -1, "/* a comment; value no"), (0, 0, "   '0' = 'NO ENTRY' */"),
+        (1, -1, "  value i94cntyl"), (1, last, ";"), (2, -2, "/* ports */"), (2, -1, "  value $i94prtl"), (2, last, ";"),
+        (4, -1, "value i94model"), (4, 0, "   1 = 'Air'"), (4, last, "   9 = 'Not reported' ;"),
+        (5, -1, "value i94addrl"), (5, last, "   'XX'='All Other Codes' ;"), (6, 0, "   '0' = 'NO ENTRY'"), (6, 1, "run ;"),
+    ]
+    countries = F.concat(F.lit("   "), F.col("c_custkey").cast("string"), F.lit(" =  '"), F.upper("c_name"), F.lit("; REP. '"))
     return union_sources(
-        *[df.agg(F.lit(name).alias("dictionary"), F.count(F.lit(1)).alias("entries")) for name, df in stored.items()]
+        spark.createDataFrame(fixed, "section int, place bigint, value string"),
+        lines(customers, 1, "c_custkey", countries),
+        lines(suppliers, 2, "s_suppkey", quoted("S", "s_suppkey", "\t=\t", label)),
+        lines(customers, 2, "c_custkey", quoted("C", "c_custkey", "\t=\t", F.concat("n_name", F.lit(", "), province, "c_mktsegment"))),
+        lines(table(spark, sf_dir, "part"), 5, "p_partkey", quoted("", "p_partkey", "=", F.concat("p_type", F.lit(" of PARTS")))),
+    )
+
+
+@query("""
+    with moved as (
+        select s_suppkey as code, case s_suppkey % 7 when 6 then s_suppkey - 1 else s_suppkey end as place from supplier
+    )
+    select 'ports' as dictionary, 'S' || code as code, '' as name, n_name[1] || lower(n_name[2:]) as locality,
+           case r_name when 'AFRICA' then 'Arizona' when 'AMERICA' then 'Alabama' when 'ASIA' then 'Texas' else 'New York' end
+               as province, 'United States' as territory
+    from moved join supplier on place = s_suppkey join nation on s_nationkey = n_nationkey
+         join region on n_regionkey = r_regionkey where r_name <> 'MIDDLE EAST'
+    union all
+    select 'ports', 'C' || c_custkey, '', n_name, case when c_acctbal > 0 then r_name else '' end, c_mktsegment
+    from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey
+    union all
+    select 'countries', cast(c_custkey as varchar), lower(c_name) || '; rep.', c_mktsegment, null, null from customer
+    union all
+    select 'addresses', cast(p_partkey as varchar), p_type[1] || lower(p_type[2:]) || ' Of Parts', null, null, null from part
+    union all values ('addresses', 'XX', 'All Other Codes', null, null, null)
+""")
+def label_file_dictionaries(spark, sf_dir):
+    """All dictionaries from one label file whose sections run over many splits, back from the stored CSV."""
+    path, clean = scratch_path(spark, "label_file"), scratch_path(spark, "clean")
+    write_table(_label_file(spark, sf_dir).orderBy("section", "place", "value").select("value"), path, fmt="text")
+    continents = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("int").alias("cit_res_code"), F.col("c_mktsegment").alias("continent")
     )
+    plans.run_dictionaries(spark, path, continents, clean, across_files=True)
+    return _dictionary_rows(spark, clean)

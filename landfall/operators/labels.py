@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landfall.functions.text import part_from_end, unquote
-from landfall.session import materialize
 
 EQUALS = r"\s*=\s*"
 
@@ -17,6 +16,10 @@ COLLAPSED_INTO = r"(?i)^collapsed\s*(?:\(|into\s+)([^),]+)"
 NO_CODE = r"(?i)^(?:no\s+(?:port|country)\s+code\b|collapsed\b)"
 
 
+# A longer chain of successors is an error.
+LONGEST_CHAIN = 100_000
+
+
 def split_dictionary(lines: DataFrame, fields: Sequence[str], sep: str = EQUALS) -> DataFrame:
     """Cut each line of ``value`` at ``sep`` into unquoted fields, first to last.
 
@@ -76,23 +79,31 @@ def follow_successors(pairs: DataFrame, code: str = "code", target: str = "targe
 
     ``pairs`` names for each code the one that replaces it. The result has one row
     per code: ``code``, ``target`` and ``circular``, true where the steps come back
-    to a code of their own and never end. Each round doubles the steps taken, so a
-    chain of n codes takes about log2(n) joins. Of several successors of a code the
-    smallest counts.
+    to a code of their own and never end; ``target`` then is the first successor. Of
+    several successors of a code the smallest counts.
+
+    One recursive query walks back from the codes whose successor has none itself, so
+    it meets each code once, and a circle never. It runs with the query that uses it:
+    nothing runs while the plan is made. Each step is a job of its own, which suits
+    the short chains of dictionaries.
     """
-    start = pairs.groupBy(code).agg(F.min(target).alias(target))
-    current = materialize(start)
-    for _ in range(max(1, current.count()).bit_length()):
-        after = current.select(F.col(code).alias("_code"), F.col(target).alias("_after"))
-        joined = current.join(after, current[target] == after["_code"], "left")
-        moved = materialize(joined.select(code, F.coalesce("_after", target).alias(target)))
-        if moved.exceptAll(current).isEmpty():
-            break
-        current = moved
-    # Whatever ends, has ended at a code without a successor by now.
-    replaced = start.select(F.col(code).alias("_code"))
-    found = current.join(replaced, current[target] == replaced["_code"], "left")
-    return found.select(code, target, F.col("_code").isNotNull().alias("circular"))
+    start = pairs.groupBy(F.col(code).alias("code")).agg(F.min(target).alias("target")).filter("code is not null")
+    ended = pairs.sparkSession.sql(
+        f"""
+        with recursive ended(code, target) max recursion level {LONGEST_CHAIN} as (
+            select s.code, s.target from {{start}} s left anti join {{start}} t on s.target = t.code
+            union all
+            select s.code, e.target from {{start}} s join ended e on s.target = e.code
+        ) select code as _code, target as _last from ended
+        """,
+        start=start,
+    )
+    found = start.join(ended, start["code"] == ended["_code"], "left")
+    return found.select(
+        F.col("code").alias(code),
+        F.when(F.col("_code").isNull(), F.col("target")).otherwise(F.col("_last")).alias(target),
+        F.col("_code").isNull().alias("circular"),
+    )
 
 
 def successor(label: str) -> Column:

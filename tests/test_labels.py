@@ -1,7 +1,8 @@
+from landfall import plans
 from landfall.operators import accepted, follow_successors, place_parts, redirect_codes, rejected, split_dictionary
-from landfall.plans import build_addresses, build_countries, build_port_codes, build_ports
+from landfall.plans import build_addresses, build_countries, build_port_codes, build_ports, split_ports
 from landfall.plans.dictionaries import UNKNOWN_PORTS
-from landfall.sources import read_labels, states
+from landfall.sources import read_csv, read_labels, states
 
 
 def lines(spark, *texts):
@@ -175,3 +176,61 @@ def test_collapsed_ports_keep_a_place(spark):
     assert sorted((r.value[1:4], r.problem) for r in problems.collect()) == [
         ("LST", "unknown successor"), ("ONE", "successors in a circle"), ("PHF", "withdrawn"), ("TWO", "successors in a circle"),
     ]
+
+
+def test_successors_run_no_job_while_the_plan_is_made(spark):
+    pairs = spark.createDataFrame([("a", "b"), ("b", "c"), (None, "c"), ("d", None)], "code string, target string")
+    spark.sparkContext.setJobGroup("planning", "")
+    found = follow_successors(pairs)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    assert sorted(tuple(r) for r in found.collect()) == [("a", "c", False), ("b", "c", False), ("d", None, False)]
+    assert follow_successors(pairs.limit(0)).collect() == []
+
+
+def test_ports_of_one_section(spark):
+    """States in short and in full, with remarks; ports abroad with two parts or more; withdrawn and odd lines."""
+    section = lines(
+        spark,
+        "'ALC' = 'ALCAN, AK      '", "'CUR' = 'CURLEW, WA (BPS)'", "'BLI' = 'BELLINGHAM, WASHINGTON #INTL'",
+        "'MOS' = 'Moses Airport, MOSES, AK'", "'EDA' = 'EDMONTON, CANADA'", "'CLG' = 'Calgary, Alberta, Canada'",
+        "'LHR' = 'Heathrow, London, England, United Kingdom'", "'FRG' = 'Collapsed (ALC) 06/15'",
+        "'PHF' = 'No PORT Code (PHF)'", "'ZZZ' = 'SOMEWHERE, ZZ'", "'ONE' = 'Monaco'", "no entry",
+    )
+    ports, problems = build_ports(*split_ports(section, states(spark)), states(spark), [])
+    assert {tuple(r) for r in ports.collect()} == {
+        ("ALC", "", "Alcan", "Alaska", "United States"),
+        ("CUR", "", "Curlew", "Washington", "United States"),
+        ("BLI", "", "Bellingham", "Washington", "United States"),
+        ("MOS", "Moses Airport", "Moses", "Alaska", "United States"),
+        ("FRG", "", "Alcan", "Alaska", "United States"),
+        ("EDA", "", "EDMONTON", "", "CANADA"),
+        ("CLG", "", "Calgary", "Alberta", "Canada"),
+        ("LHR", "Heathrow", "London", "England", "United Kingdom"),
+    }
+    assert sorted(r.problem for r in problems.collect()) == ["no separator", "too few parts", "unknown state", "withdrawn"]
+
+
+def test_dictionaries_from_one_file(spark, tmp_path):
+    text = """
+      value i94cntyl
+       582 =  'MEXICO Air Sea, and Not Reported (I-94, no land arrivals)'
+       996 =  'No Country Code (996)' ;
+      value $i94prtl
+       'ALC'\t=\t'ALCAN, AK'
+       'PHF'\t=\t'No PORT Code (PHF)'
+    ;
+      value i94addrl
+    'AL'='ALABAMA'
+    'WI'='WISCONSON'
+    ;
+    """
+    (tmp_path / "labels").write_text(text)
+    continents = spark.createDataFrame([(582, "North America")], "cit_res_code int, continent string")
+    problems = plans.run_dictionaries(spark, f"{tmp_path}/labels", continents, f"{tmp_path}/clean")
+    assert [r.problem for r in problems.collect()] == ["withdrawn"]
+    clean = {name: sorted(tuple(r) for r in read_csv(spark, f"{tmp_path}/clean/{name}").collect())
+             for name in ("ports", "port_codes", "countries", "addresses")}
+    assert clean["ports"][1] == ("ALC", "", "Alcan", "Alaska", "United States") and len(clean["ports"]) == 4
+    assert clean["countries"] == [("582", "mexico air sea, and not reported (i-94, no land arrivals)", "North America")]
+    assert clean["addresses"] == [("AL", "Alabama"), ("WI", "Wisconsin")]
