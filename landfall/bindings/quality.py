@@ -6,6 +6,7 @@ from landfall.bindings.registry import query, table
 from landfall.operators import (
     check_non_empty,
     check_unique,
+    frequent_values,
     match_rate,
     profile,
     reconcile,
@@ -132,3 +133,21 @@ def missing_profile(spark, sf_dir):
 )
 def column_profile(spark, sf_dir):
     return profile(_with_gaps(spark, sf_dir), distincts="exact")
+
+
+_LINE_COLUMNS = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+    "l_returnflag", "l_linestatus", "l_shipdate",
+)
+
+
+@query(
+    "\nunion all\n".join(
+        f"""select '{name}' as "column", cast({name} as varchar) as value, count(*) as rows from lineitem
+            group by {name} having count(*) >= 0.05 * (select count(*) from lineitem)"""
+        for name in _LINE_COLUMNS
+    )
+)
+def frequent_line_values(spark, sf_dir):
+    """Values that make up a twentieth of their column, for all columns in two scans."""
+    return frequent_values(table(spark, sf_dir, "lineitem"), 0.05)

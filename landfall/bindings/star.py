@@ -8,7 +8,7 @@ from landfall.bindings.registry import query, table
 from landfall.operators import match_rate, union_sources
 from landfall.schemas import ADDRESSES, COUNTRIES, FACT, PORTS
 from landfall.session import materialize, scratch_path
-from landfall.sources import literal_table, read_csv, read_table, states, write_months, write_table
+from landfall.sources import literal_table, read_csv, read_table, states, write_months, write_sorted, write_table
 
 _RAW = """lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey"""
 
@@ -411,6 +411,33 @@ def traffic_by_port(spark, sf_dir):
     return plans.traffic(_fact(spark, sf_dir), adapters.ports(spark, sf_dir), k=10)
 
 
+@query(f"""
+    select case grouping_id(province, locality, code) when 0 then 'port' when 1 then 'city' when 3 then 'state' else 'total' end
+               as level, province, locality, code, count(*) as arrivals
+    from {_RAW} join {_PORTS} on 'P' || l_suppkey = code where l_tax > 0
+    group by rollup (province, locality, code)
+""")
+def traffic_levels(spark, sf_dir):
+    return plans.traffic_levels(_fact(spark, sf_dir), adapters.ports(spark, sf_dir))
+
+
+@query(f"select i94port, students_count from {_STUDENTS}")
+def stored_first_records(spark, sf_dir):
+    """First records are stored for each month, then merged over all of them."""
+    path = scratch_path(spark, "firsts")
+    firsts = plans.first_records(_fact(spark, sf_dir))
+    write_table(firsts, path, ["i94yr", "i94mon"])
+    return plans.visitor_ports_from(read_table(spark, path, firsts.schema), adapters.countries(spark, sf_dir))
+
+
+@query(f"select * from ({_FACT_SQL}) where admnum in (7, 42)")
+def visitor_lookup(spark, sf_dir):
+    """All records of two visitors, from files sorted by visitor."""
+    path = scratch_path(spark, "by_visitor")
+    write_sorted(_full_fact(spark, sf_dir), path, "admnum")
+    return read_table(spark, path, FACT).filter(F.col("admnum").isin(7, 42))
+
+
 @query(f"""
     select c_mktsegment as airline, count(*) as arrivals from {_RAW} where l_tax > 0
     group by all order by arrivals desc, airline limit 3

@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 from landfall import plans
 from landfall.bindings import adapters
 from landfall.bindings.registry import query, table
-from landfall.operators import QualityError, accepted, project, split_dictionary
+from landfall.operators import QualityError, accepted, distinct_sketches, merged_counts, project, split_dictionary
 from landfall.session import scratch_path
 from landfall.sources import (
+    compact,
     land,
     read_arrivals,
     read_csv,
@@ -132,6 +133,38 @@ def load_ledger(spark, sf_dir):
     return plans.last_steps(history).select("load", "year", "month", "rows", "different", "status")
 
 
+@query("""
+    select o_orderkey, o_custkey, o_totalprice, cast(year(o_orderdate) as integer) as yr,
+           cast(month(o_orderdate) as integer) as mon, '00' || translate(o_orderstatus, 'FOP', '123') as port
+    from orders
+""")
+def compacted_months(spark, sf_dir):
+    """Months arrive in three pieces, so each partition has as many files; then they are put together."""
+    keys = ["yr", "mon", "port"]
+    path = scratch_path(spark, "pieces")
+    orders = _monthly_orders(spark, sf_dir)
+    for piece in range(3):
+        write_table(orders.filter(F.col("o_orderkey") % 3 == piece), path, keys, mode="append")
+    compact(spark, path, _MONTHLY, keys)
+    return read_table(spark, path, _MONTHLY)
+
+
+@query("""
+    select cast(year(o_orderdate) as integer) as yr, count(*) as rows, count(distinct o_custkey) as different, true as close
+    from orders group by all
+""")
+def merged_distincts(spark, sf_dir):
+    """Sketches of each month's customers are stored; years are estimated from them, within 6 % of the exact number."""
+    path = scratch_path(spark, "sketches")
+    orders = _monthly_orders(spark, sf_dir)
+    sketches = distinct_sketches(orders, ["yr", "mon"], "o_custkey")
+    write_table(sketches, path)
+    merged = merged_counts(read_table(spark, path, sketches.schema), ["yr"], "estimate")
+    exact = orders.groupBy(F.col("yr").alias("_yr")).agg(F.count_distinct("o_custkey").alias("different"))
+    close = F.abs(F.col("estimate") - F.col("different")) <= F.col("different") * 0.06
+    return merged.join(exact, F.col("yr") == F.col("_yr")).select("yr", "rows", "different", close.alias("close"))
+
+
 @query("""
     select n_name as "City", r_name as "State", c_mktsegment as "Race", count(*) as "Count"
     from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey

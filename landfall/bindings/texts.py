@@ -16,7 +16,7 @@ from landfall.functions import (
     title_case,
     to_ascii,
 )
-from landfall.operators import accepted, place_parts, redirect_codes, rejected, split_dictionary
+from landfall.operators import accepted, place_parts, redirect_codes, rejected, repair_names, split_dictionary
 
 
 @query("""
@@ -171,3 +171,54 @@ def collapsed_code_redirect(spark, sf_dir):
     found = redirect_codes(entries, "code", "label")
     target = F.when(~F.col("circular"), F.col("target"))
     return found.select("code", target.alias("target"), "label", "circular")
+
+
+_SPELLINGS = """(
+    select 'part' as kind, p_name as name, p_partkey as id from part
+    union all select 'supplier', s_name, s_suppkey from supplier
+)"""
+
+
+def _spellings(spark, sf_dir):
+    """Names of parts and suppliers with a mistake: a letter lost, replaced, or one too many and the last one lost."""
+    parts = table(spark, sf_dir, "part").select(F.lit("part").alias("kind"), F.col("p_name").alias("known"), F.col("p_partkey").alias("id"))
+    suppliers = table(spark, sf_dir, "supplier").select(F.lit("supplier"), "s_name", "s_suppkey")
+    names = parts.union(suppliers)
+    known = F.col("known")
+    at = (F.col("id") % F.length(known) + 1).cast("int")
+    rest = F.substring(known, at + 1, F.length(known))
+    before = F.substring(known, F.lit(1), at - 1)
+    wrong = (
+        F.when(F.col("id") % 3 == 0, F.concat(before, rest))
+        .when(F.col("id") % 3 == 1, F.concat(before, F.lit("x"), rest))
+        .otherwise(F.concat(before, F.lit("q"), F.substring(known, at, F.length(known) - at)))
+    )
+    return names.withColumn("name", wrong)
+
+
+@query(f"""
+    with wrong as (
+        select distinct kind, substr(name, 1, n - 1) || case id % 3 when 0 then substr(name, n + 1)
+                    when 1 then 'x' || substr(name, n + 1) else 'q' || substr(name, n, length(name) - n) end as name
+        from (select *, cast(id % length(name) + 1 as integer) as n from {_SPELLINGS})
+    ), known as (
+        select distinct kind, name as known from {_SPELLINGS}
+    ), pairs as (
+        select wrong.kind, name, known, levenshtein(name, known) as distance
+        from wrong join known on wrong.kind = known.kind and levenshtein(name, known) <= 2
+        where name not in (select known from known k where k.kind = wrong.kind)
+    ), nearest as (
+        select kind, name, distance, list(known order by known) as candidates from pairs
+        where distance = (select min(p.distance) from pairs p where p.kind = pairs.kind and p.name = pairs.name)
+        group by all
+    )
+    select w.kind, w.name, case when len(candidates) = 1 then candidates[1] end as repaired,
+           cast(distance as integer) as distance, coalesce(array_to_string(candidates, '|'), '') as candidates
+    from wrong w left join nearest n on w.kind = n.kind and w.name = n.name
+    where w.name not in (select known from known k where k.kind = w.kind)
+""")
+def name_repair(spark, sf_dir):
+    """Misspelt names of parts and suppliers, found again where one known name is nearest; ties are told."""
+    names = _spellings(spark, sf_dir)
+    found = repair_names(names, "name", names, "known", within=["kind"])
+    return found.withColumn("candidates", F.array_join("candidates", "|"))

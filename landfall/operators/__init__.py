@@ -9,6 +9,7 @@ from landfall.operators.counts import (
     value_counts,
 )
 from landfall.operators.dedupe import duplicate_keys, first_per_key
+from landfall.operators.frequent import frequent_values
 from landfall.operators.labels import (
     accepted,
     flag_withdrawn,
@@ -20,6 +21,7 @@ from landfall.operators.labels import (
     successor,
 )
 from landfall.operators.lookup import add_label, conform, keep_valid_codes, require_not_null
+from landfall.operators.names import repair_names, with_repairs
 from landfall.operators.quality import (
     QualityError,
     check_counts,
@@ -34,6 +36,7 @@ from landfall.operators.quality import (
 )
 from landfall.operators.ranks import attach, dense_rank_by, dense_ranks, share_of_total
 from landfall.operators.sets import append_members, project, union_sources
+from landfall.operators.sketches import distinct_sketches, merged_counts
 
 __all__ = [
     "QualityError",
@@ -50,15 +53,18 @@ __all__ = [
     "dense_rank_by",
     "dense_ranks",
     "distinct_count",
+    "distinct_sketches",
     "duplicate_keys",
     "enforce",
     "first_per_key",
     "flag_withdrawn",
     "follow_successors",
+    "frequent_values",
     "global_count",
     "keep_valid_codes",
     "last_k",
     "match_rate",
+    "merged_counts",
     "place_parts",
     "profile",
     "project",
@@ -66,6 +72,7 @@ __all__ = [
     "reconcile_filters",
     "redirect_codes",
     "rejected",
+    "repair_names",
     "require_not_null",
     "share_of_total",
     "split_dictionary",
@@ -73,4 +80,5 @@ __all__ = [
     "top_k",
     "union_sources",
     "value_counts",
+    "with_repairs",
 ]

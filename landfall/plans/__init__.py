@@ -4,11 +4,14 @@ from landfall.plans.analytics import (
     arrivals_with_country,
     carrier_preference,
     city_list,
+    first_records,
     month_keys,
     port_preference,
     top_ports,
     traffic,
+    traffic_levels,
     visitor_ports,
+    visitor_ports_from,
 )
 from landfall.plans.dictionaries import (
     SECTIONS,
@@ -55,6 +58,7 @@ __all__ = [
     "clean_airports",
     "fact_checks",
     "finish_loads",
+    "first_records",
     "last_steps",
     "load_history",
     "load_months",
@@ -73,5 +77,7 @@ __all__ = [
     "split_ports",
     "top_ports",
     "traffic",
+    "traffic_levels",
     "visitor_ports",
+    "visitor_ports_from",
 ]

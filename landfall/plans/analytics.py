@@ -124,6 +124,51 @@ def traffic(
     return totals if k is None else top_k(totals, k, "arrivals", level)
 
 
+def traffic_levels(
+    fact: DataFrame, ports: DataFrame, year: int | None = None, month: int | None = None
+) -> DataFrame:
+    """Arrivals per port, city, state and in total, in one table: ``level`` tells which.
+
+    The fact is read once and counted per port; all levels are summed from those
+    counts. Columns that a level does not have are NULL.
+    """
+    per_port = count_by(_in_part(fact, year, month, None), ["i94port"], "_arrivals")
+    placed = conform(per_port, ports, {"i94port": "code"})
+    sums = placed.rollup("province", "locality", "code").agg(
+        F.sum("_arrivals").alias("arrivals"), F.grouping_id().alias("_id")
+    )
+    # One bit for each column that is summed over, the last column's first.
+    level = F.when(F.col("_id") == 0, "port").when(F.col("_id") == 1, "city").when(F.col("_id") == 3, "state")
+    return sums.select(level.otherwise("total").alias("level"), "province", "locality", "code", "arrivals")
+
+
+def first_records(fact: DataFrame, months: Sequence[str] = ("i94yr", "i94mon")) -> DataFrame:
+    """Each visitor's first record of a month, per visa category and citizenship: a table to be stored.
+
+    It merges over any months: :func:`visitor_ports_from` gives from it what
+    :func:`visitor_ports` gives from the fact, without reading records again.
+    """
+    return fact.groupBy(*months, "i94_visa", "i94cit", "admnum").agg(
+        F.min(F.struct("cicid", "i94port")).alias("first")
+    )
+
+
+def visitor_ports_from(
+    firsts: DataFrame,
+    countries: DataFrame,
+    continent: str = "Asia",
+    visa: str = "Student",
+    year: int | None = None,
+    month: int | None = None,
+    name: str = "students_count",
+) -> DataFrame:
+    """Like :func:`visitor_ports`, from the stored first records of months."""
+    rows = _in_part(firsts, year, month, None).filter(F.col("i94_visa") == visa).select("admnum", "i94cit", "first")
+    rows = arrivals_with_country(rows, countries, continent)
+    visitors = rows.groupBy("admnum").agg(F.min("first").alias("first"))
+    return count_by(visitors.select("first.i94port"), ["i94port"], name)
+
+
 def carrier_preference(
     fact: DataFrame,
     by: Sequence[str] = ("airline",),

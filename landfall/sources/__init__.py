@@ -1,5 +1,6 @@
 """Readers, writers and literal tables."""
 
+from landfall.sources.compaction import compact, file_sizes, small_partitions
 from landfall.sources.literals import MODE_LABELS, VISA_LABELS, literal_table, modes, states, visas
 from landfall.sources.readers import (
     land,
@@ -10,13 +11,15 @@ from landfall.sources.readers import (
     read_table,
 )
 from landfall.sources.sections import read_label_sections
-from landfall.sources.writers import MONTH_KEYS, Written, replace_month, write_csv, write_months, write_table
+from landfall.sources.writers import MONTH_KEYS, Written, replace_month, write_csv, write_months, write_sorted, write_table
 
 __all__ = [
     "MODE_LABELS",
     "MONTH_KEYS",
     "VISA_LABELS",
     "Written",
+    "compact",
+    "file_sizes",
     "land",
     "literal_table",
     "locate",
@@ -27,9 +30,11 @@ __all__ = [
     "read_labels",
     "read_table",
     "replace_month",
+    "small_partitions",
     "states",
     "visas",
     "write_csv",
     "write_months",
+    "write_sorted",
     "write_table",
 ]

@@ -152,3 +152,28 @@ def replace_month(
         .options(**options)
         .parquet(f"{path.rstrip('/')}/{year_key}={year}/{month_key}={month}")
     )
+
+
+def write_sorted(
+    df: DataFrame,
+    path: str,
+    key: str,
+    keys: Sequence[str] = (),
+    mode: str = "errorifexists",
+    different: int = 1 << 20,
+    row_group_bytes: int = 16 << 20,
+    **options,
+) -> None:
+    """Write Parquet in which rows of one ``key`` are found by reading few row groups.
+
+    Files are sorted by ``key``, within the partitions of ``keys`` if given, else
+    across all files. So most row groups are ruled out by their least and greatest
+    key, and others by a Bloom filter, made for ``different`` keys a row group.
+    """
+    rows = df.hint("rebalance", *keys) if keys else df.repartitionByRange(key)
+    settings = {
+        f"parquet.bloom.filter.enabled#{key}": "true",
+        f"parquet.bloom.filter.expected.ndv#{key}": str(different),
+        "parquet.block.size": str(row_group_bytes),
+    }
+    rows.sortWithinPartitions(*keys, key).write.partitionBy(*keys).mode(mode).options(**{**settings, **options}).parquet(path)
