@@ -131,7 +131,9 @@ def build_ports(
     problems = union_sources(*[rejected(part).select("value", "code", "label", "problem") for part in (abroad, us)])
     problems = problems.withColumn("_next", F.when(F.col("problem") == "withdrawn", successor("label")))
     moved = problems.filter("_next is not null")
-    last = follow_successors(moved.select("code", F.col("_next").alias("target")))
+    # The same pairs, from the lines alone: they are read for every step of a chain.
+    pairs = [_collapsed(part) for part in (abroad_lines, us_lines)]
+    last = follow_successors(union_sources(*pairs))
     place = ports.withColumnRenamed("code", "_target").dropDuplicates(["_target"])
     placed = last.join(place, last["target"] == place["_target"], "left")
     collapsed = placed.filter("_target is not null").select(*PORT_COLUMNS)
@@ -142,6 +144,13 @@ def build_ports(
     return append_members(union_sources(ports, collapsed), unknown), union_sources(others, unplaced)
 
 
+def _collapsed(lines: DataFrame) -> DataFrame:
+    """Codes that are collapsed, each with the one named in its place."""
+    entries = split_dictionary(lines, ["code", "label"]).filter("problem is null")
+    pairs = entries.select("code", successor("label").alias("target"))
+    return pairs.filter("target is not null")
+
+
 def build_port_codes(ports: DataFrame) -> DataFrame:
     """The list of valid codes."""
     return ports.select("code")
