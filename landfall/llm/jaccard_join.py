@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from landfall.llm.graph import connected_components
 from landfall.llm.words import mixed, shingle_sets, slices, tidy
-from landfall.session import materialize
+from landfall.session import materialize, settings
 
 # Documents in one search task, the shingles of all of them, and how many documents
 # of a split cluster go to all its tasks.
@@ -60,6 +60,14 @@ SKETCH_BITS = 19
 # Members of a shared key that are compared in one task.
 LIST_BLOCK = 2048
 
+# Spark filters texts by a Bloom filter of the documents that a join asks for, whatever their sizes.
+MEMBER_FILTER = {
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1t",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+}
+
 # Relative cost of probing a list and of merging an entry; only speed depends on it.
 PROBE_COST = 0.0085
 
@@ -442,14 +450,23 @@ def _with_sets(n: int):
     return rows
 
 
-def _find(docs: DataFrame, tasks: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """Links within tasks, whose rows name a cluster, a part, a document, whether it is a query, and its label."""
+def _find(docs: DataFrame, tasks: DataFrame, members: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """Links within tasks, whose rows name a cluster, a part, a document, whether it is a query, and its label.
+
+    ``members`` is a stored table with all their documents. Texts of others are left
+    out where they are read, as far as a Bloom filter of the members tells; its size
+    is bounded by Spark's settings, and with very many members it lets more texts pass.
+    """
+    ids = members.filter("parts > 0").select("id")
     # The texts are far larger than the tasks at any size worth planning for, so
     # the join is the same at every size.
-    rows = docs.join(tasks.hint("merge"), "id").select("cluster", "part", "id", "query", "label", "text")
+    rows = docs.join(ids.hint("merge"), "id", "left_semi").join(tasks.hint("merge"), "id")
+    rows = rows.select("cluster", "part", "id", "query", "label", "text")
     fields = "cluster long, part long, id long, query boolean, label long, bits binary"
     rows = rows.mapInArrow(tidy(_with_sets(n)), fields).repartition("cluster", "part")
-    return rows.sortWithinPartitions("cluster", "part").mapInArrow(tidy(_searched(num, den)), "a long, b long")
+    links = rows.sortWithinPartitions("cluster", "part").mapInArrow(tidy(_searched(num, den)), "a long, b long")
+    with settings(docs.sparkSession, MEMBER_FILTER):
+        return materialize(links)
 
 
 def _split(members: DataFrame, block: int) -> DataFrame:
@@ -470,7 +487,7 @@ def _search_clusters(docs: DataFrame, members: DataFrame, n: int, num: int, den:
     hub = F.pmod(F.xxhash64("id", F.lit(1)), F.col("members")) < HUBS
     tasks = split.withColumn("part", F.explode(F.when(hub, everywhere).otherwise(F.array("own"))))
     first = tasks.select("cluster", "part", "id", F.lit(True).alias("query"), F.col("id").alias("label"))
-    links = materialize(_find(docs, first, n, num, den))
+    links = _find(docs, first, split, n, num, den)
     large = split.filter("parts > 1")
     if large.isEmpty():
         return links
@@ -485,7 +502,7 @@ def _search_clusters(docs: DataFrame, members: DataFrame, n: int, num: int, den:
     asking = large.filter("query").groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / block).alias("groups"))
     if asking.isEmpty():
         return links
-    dealt = large.join(asking, "cluster")
+    dealt = materialize(large.join(asking, "cluster"))
     number = F.col("group") * F.col("parts") + F.col("there")
     group = F.pmod(F.xxhash64("id", F.lit(2)), F.col("groups"))
     every_group = F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1))
@@ -494,7 +511,7 @@ def _search_clusters(docs: DataFrame, members: DataFrame, n: int, num: int, den:
     second = data.unionByName(queries).withColumn("part", number)
     # A straggler may meet itself as a row of the data; equal labels are skipped.
     second = second.groupBy("cluster", "part", "id", "label").agg(F.max("query").alias("query"))
-    return links.union(_find(docs, second, n, num, den))
+    return links.union(_find(docs, second, dealt, n, num, den))
 
 
 def near_duplicates(
