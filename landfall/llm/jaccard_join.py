@@ -12,7 +12,9 @@ of different n-word shingles. The work goes in four steps.
    be too small to tell documents apart (thresholds below about 0.88), the keys
    are the rarest shingles of each document instead, as many as a linked
    document cannot miss, and documents that share one are compared by a parity
-   bitmap of their sets that never underrates their overlap.
+   bitmap of their sets that never underrates their overlap. Near copies mostly have
+   the least hashes of their sets in common; those are put together first, so that a
+   large group of them is connected by few edges.
 3. Documents that share keys, directly or over others, form a cluster. Clusters
    larger than a block are dealt over several tasks.
 4. Within a task, T-occurrence search with DivideSkip decides: for each document
@@ -23,6 +25,9 @@ of different n-word shingles. The work goes in four steps.
 Links found are a spanning set of the true links: their connected components are
 those of all links, though not every pair of a large group is listed.
 
+Shingles are told apart by 64-bit hashes, so links are exact up to collisions of those.
+Texts of any length are worked on whole, at a few dozen bytes of memory per byte of text.
+
 NULL and empty texts have no shingles and are linked with nothing. Rows with a
 NULL id keep their own row and have no component. Rows that repeat an id count
 as one document for links; each keeps its own number of shingles.
@@ -60,6 +65,10 @@ SKETCH_BITS = 19
 # Members of a shared key that are compared in one task.
 LIST_BLOCK = 2048
 
+# The least hashes of a set that make a signature, and the signatures of a document.
+SIGNATURE = 3
+SALTS = (0x6A09_E667, 0xBB67_AE85)
+
 # Spark filters texts by a Bloom filter of the documents that a join asks for, whatever their sizes.
 MEMBER_FILTER = {
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
@@ -256,27 +265,55 @@ def _prefix_rows(n: int, num: int, den: int, sketch):
     return rows
 
 
+def _signature(values: np.ndarray, salt: int) -> int:
+    """A digest of the smallest hashes of a set, which near copies mostly share."""
+    hashes = mixed(values ^ np.uint64(salt))
+    least = np.sort(np.partition(hashes, SIGNATURE - 1)[:SIGNATURE] if len(hashes) > SIGNATURE else hashes)
+    places = np.arange(len(least), dtype=np.uint64) + np.uint64(salt)
+    return int(mixed(least + mixed(places)).sum(dtype=np.uint64).view(np.int64))
+
+
 def _bitmap_rows(n: int):
-    """Per document the size and the bitmap of its set."""
+    """Per document the size and the bitmap of its set, and its signatures."""
 
     def rows(batches):
         for ids, sets, at in _documents(batches, n):
-            own = [(i, hi - lo, _bitmap(sets[lo:hi] >> np.uint64(8))) for i, lo, hi in zip(ids, at[:-1], at[1:], strict=True) if hi > lo]
-            ids_, sizes, maps = zip(*own, strict=True) if own else ((), (), ())
+            own = [
+                (i, hi - lo, _bitmap(sets[lo:hi] >> np.uint64(8)), [_signature(sets[lo:hi], salt) for salt in SALTS])
+                for i, lo, hi in zip(ids, at[:-1], at[1:], strict=True)
+                if hi > lo
+            ]
+            ids_, sizes, maps, signed = zip(*own, strict=True) if own else ((), (), (), ())
             columns = [pa.array(ids_, pa.int64()), pa.array(sizes, pa.int64()), pa.array(maps, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "n", "bits"])
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(signed, pa.list_(pa.int64()))], ["id", "n", "bits", "signed"]
+            )
 
     return rows
 
 
-def _compatible(sizes: np.ndarray, maps: list[bytes], ids: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
-    """Edges that connect all documents whose sizes and bitmaps allow a link.
+def _alike(maps: DataFrame) -> DataFrame:
+    """Edges from each document to the smallest one that shares a signature."""
+    signed = maps.select("id", F.explode("signed").alias("signature"))
+    heads = signed.groupBy("signature").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("size"))
+    met = signed.join(heads.filter("size > 1"), "signature").filter("id != head")
+    return met.select(F.col("id").alias("a"), F.col("head").alias("b")).distinct()
 
-    Grows one tree after the other: a document taken from the tree is compared
-    with all that are in none yet, so a group of copies costs one comparison each.
-    Linked sets differ in size by less than a factor of two, so by one step of
-    their bitmaps' sizes at most, and the larger one is folded.
+
+def _compatible(
+    sizes: np.ndarray, maps: list[bytes], labels: np.ndarray, num: int, den: int
+) -> list[tuple[int, int]]:
+    """Edges between labels that connect all documents whose sizes and bitmaps allow a link.
+
+    Documents of one label are connected already. Grows one tree after the other: a
+    document taken from the tree is compared with all that are in none yet, so a group
+    of copies costs one comparison each, and edges only where labels meet. Linked sets
+    differ in size by less than a factor of two, so by one step of their bitmaps' sizes
+    at most, and the larger one is folded.
     """
+    mates: dict[int, list[int]] = {}
+    for i, label in enumerate(labels.tolist()):
+        mates.setdefault(label, []).append(i)
     width = np.array([len(m) for m in maps])
     classes, place = {}, np.empty(len(maps), dtype=np.int64)
     for w in np.unique(width).tolist():
@@ -289,8 +326,8 @@ def _compatible(sizes: np.ndarray, maps: list[bytes], ids: np.ndarray, num: int,
     for start in range(len(maps)):
         if not free[start]:
             continue
-        free[start] = False
-        queue = [start]
+        queue = list(mates[int(labels[start])])
+        free[queue] = False
         while queue:
             i = queue.pop()
             _, own, folded = classes[width[i]]
@@ -306,25 +343,25 @@ def _compatible(sizes: np.ndarray, maps: list[bytes], ids: np.ndarray, num: int,
                 differ = np.bitwise_count(classes[w][which][left] ^ one).sum(axis=1).astype(np.int64)
                 near = differ * (den + num) <= (sizes[others] + sizes[i]) * (den - num)
                 near &= np.minimum(sizes[others], sizes[i]) * den >= np.maximum(sizes[others], sizes[i]) * num
-                found = others[near]
-                edges += [(int(ids[i]), int(ids[j])) for j in found if ids[i] != ids[j]]
-                free[found] = False
-                queue += found.tolist()
+                for label in np.unique(labels[others[near]]).tolist():
+                    edges.append((int(labels[i]), label))
+                    free[mates[label]] = False
+                    queue += mates[label]
     return edges
 
 
 def _compared(num: int, den: int):
     def rows(batches):
         held = [batch.to_pydict() for batch in batches]
-        table = {k: [x for h in held for x in h[k]] for k in ("key", "part", "id", "n", "bits")}
+        table = {k: [x for h in held for x in h[k]] for k in ("key", "part", "id", "label", "n", "bits")}
         found = set()
-        # In order of ids, so that the keys of a group give the same edges.
-        order = sorted(range(len(table["id"])), key=lambda i: (table["key"][i], table["part"][i], table["id"][i]))
+        # In order of labels, so that the keys of a group give the same edges.
+        order = sorted(range(len(table["id"])), key=lambda i: tuple(table[k][i] for k in ("key", "part", "label", "id")))
         for _, run in groupby(order, key=lambda i: (table["key"][i], table["part"][i])):
             run = list(run)
-            if len(run) > 1:
-                sizes, ids = (np.array([table[k][i] for i in run]) for k in ("n", "id"))
-                found.update((min(e), max(e)) for e in _compatible(sizes, [table["bits"][i] for i in run], ids, num, den))
+            if table["label"][run[0]] != table["label"][run[-1]]:
+                sizes, labels = (np.array([table[k][i] for i in run]) for k in ("n", "label"))
+                found.update((min(e), max(e)) for e in _compatible(sizes, [table["bits"][i] for i in run], labels, num, den))
         if found:
             pairs = np.array(sorted(found), dtype=np.int64)
             yield pa.RecordBatch.from_arrays([pairs[:, 0].copy(), pairs[:, 1].copy()], ["a", "b"])
@@ -332,13 +369,25 @@ def _compared(num: int, den: int):
     return rows
 
 
-def prefix_candidates(docs: DataFrame, n: int, num: int, den: int, block: int = LIST_BLOCK) -> DataFrame:
+def prefix_candidates(
+    docs: DataFrame, n: int, num: int, den: int, block: int = LIST_BLOCK, standing: DataFrame | None = None
+) -> DataFrame:
     """Edges that connect all documents with a rare shingle in common and bitmaps that allow a link.
 
-    A key with more than ``block`` documents is dealt over all pairs of its blocks.
+    With ``standing`` (``id``), documents that stand for others with equal sets, the
+    others are left out. Documents that share a signature are connected first and then
+    have one label; keys connect labels. A key with more than ``block`` documents is
+    dealt over all pairs of its blocks.
     """
     spark = docs.sparkSession
     sketch = spark.sparkContext.broadcast(frequency_sketch(docs, n))
+    maps = docs.mapInArrow(tidy(_bitmap_rows(n)), "id long, n long, bits binary, signed array<long>")
+    maps = materialize(maps if standing is None else maps.join(standing, "id", "left_semi"))
+    alike = materialize(_alike(maps))
+    known = connected_components(alike)
+    maps = maps.join(known, maps["id"] == known["node"], "left").select(
+        "id", "n", "bits", F.coalesce("component", "id").alias("label")
+    )
     entries = docs.mapInArrow(tidy(_prefix_rows(n, num, den, sketch)), "key long, id long")
     shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     blocks = F.ceil(F.col("members") / block)
@@ -347,9 +396,8 @@ def prefix_candidates(docs: DataFrame, n: int, num: int, den: int, block: int =
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     dealt = entries.withColumn("own", own).withColumn("other", other)
     dealt = dealt.withColumn("part", F.least("own", "other") * F.col("blocks") + F.greatest("own", "other"))
-    maps = docs.mapInArrow(tidy(_bitmap_rows(n)), "id long, n long, bits binary")
     rows = dealt.select("key", "part", "id").join(maps, "id").repartition("key", "part")
-    return rows.mapInArrow(tidy(_compared(num, den)), "a long, b long").distinct()
+    return rows.mapInArrow(tidy(_compared(num, den)), "a long, b long").union(alike).distinct()
 
 
 def _search(ids, queries, labels, sets, num: int, den: int, seen: np.ndarray | None = None) -> list[tuple[int, int]]:
@@ -540,8 +588,11 @@ def near_duplicates(
     texts = docs.filter("id is not null")
     usual = (den + num) / (den - num) / (1 + den / num) if den > num else math.inf  # shingles in a segment
     keys = keys or ("segments" if usual >= SEGMENT_SHINGLES else "prefix")
-    candidates = segment_candidates if keys == "segments" else prefix_candidates
-    near = connected_components(candidates(texts, n, num, den))
+    if keys == "segments":
+        candidates = segment_candidates(texts, n, num, den)
+    else:
+        candidates = prefix_candidates(texts, n, num, den, standing=classes.select(F.col("b").alias("id")))
+    near = connected_components(candidates)
     standing = classes.groupBy(F.col("b").alias("node")).agg(F.max("n_shingles").alias("n"))
     members = near.join(standing, "node").select(F.col("node").alias("id"), F.col("component").alias("cluster"), "n")
     links = _search_clusters(texts, members, n, num, den, block)
