@@ -3,24 +3,29 @@
 Fixed rules drop what is broken anywhere. Beyond them each measure of a document
 is held against limits of its language and source: the quartiles of the measure
 in that group, widened by a multiple of the distance between them. The quartiles
-come from quantile sketches that map tasks build and reducers merge, so a group
-of any size costs a sketch per task. The limits of a group are blended with those of
-its language, and these with the limits of all documents, from merged sketches of the
-same kind. The weights follow the counts at every size, so no limit jumps as data grow.
-
-A limit lies far outside the quartiles, and a small floor under their distance
-keeps a uniform group from losing its own. A group reaches beyond the limits of its
-language, and a language beyond those of all documents, only as far as the half of
-its documents on the other side of the median says alone, so a source with much junk
-cannot lift its limits past it.
+come from sketches that count documents per logarithmic step of a measure, exact up
+to one per cent of its value. Counts add up in any order, so a group of any size
+costs some hundred counters a task, and the same data always give the same limits.
+The limits of a group are blended with those of its language, and these with the
+limits of all documents, from the same counts. The weights follow the numbers of
+documents at every size, so no limit jumps as data grow.
+
+Most documents repeat nothing and hold no symbols, so the quartiles of such a measure
+are equal. The distance then is the least step of the measure in a document of the
+group's median size: one symbol in its characters, one line of its lines, or two
+windows of its words. Limits thus are wide where documents are short and close where
+they are long. A group reaches beyond the limits of its language, and a language
+beyond those of all documents, only as far as the half of its documents on the other
+side of the median says alone, so a source with much junk cannot lift its limits past it.
 
 NULL and empty texts have no words and fail. NULL languages and sources form
-groups of their own. Repeated rows count as often as they occur.
+groups of their own. Repeated rows count as often as they occur. Without a document
+that passes the fixed rules there are no limits; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from landfall.session import materialize
@@ -30,20 +35,21 @@ LEAST_WORDS = 10
 MOST_REPEATED = 20  # per cent of the words
 
 # Documents of a group whose own limits weigh as much as those above it, widening in
-# quartile distances, and the sketches' accuracy.
+# quartile distances, and the ratio of a sketch's steps.
 LEAST_GROUP = 100
 WIDENING = 4.0
-ACCURACY = 2000
+STEP = 1.02
 
-# Measures judged by the adaptive limits: expression, sides, and least distance of
-# the quartiles. Words can be too short as well as too long; no symbols, and nothing
-# repeated, is as it should be.
+# Measures judged by the adaptive limits: expression, sides, least distance of the
+# quartiles where sizes are unknown, and its least step as a part of which size. Words
+# can be too short as well as too long; no symbols, and nothing repeated, is as it should be.
 MEASURES = {
-    "symbol_share": ("n_symbols / greatest(n_chars, 1)", ("high",), 0.0025),
-    "word_length": ("word_chars / greatest(n_words, 1)", ("low", "high"), 0.1),
-    "line_repeat": ("n_dup_lines / greatest(n_lines, 1)", ("high",), 0.06),
-    "word_repeat": ("n_repeat_words / greatest(n_words, 1)", ("high",), 0.02),
+    "symbol_share": ("n_symbols / greatest(n_chars, 1)", ("high",), 0.0025, (1, "n_chars")),
+    "word_length": ("word_chars / greatest(n_words, 1)", ("low", "high"), 0.1, None),
+    "line_repeat": ("n_dup_lines / greatest(n_lines, 1)", ("high",), 0.06, (1, "n_lines")),
+    "word_repeat": ("n_repeat_words / greatest(n_words, 1)", ("high",), 0.02, (2 * WINDOW, "n_words")),
 }
+QUARTILES = {"low": 0.25, "middle": 0.5, "high": 0.75}
 
 BLANK = "[\\x20\\x09-\\x0D]"
 WORD = "[^\\x20\\x09-\\x0D]"
@@ -110,10 +116,14 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
-def _reach(name: str) -> Column:
-    """Limits of a measure from its sketch: by both quartiles, and by the half of the documents on the other side alone."""
-    floor = F.lit(MEASURES[name][2])
-    low, middle, high = (F.kll_sketch_get_quantile_double(name, F.lit(q)) for q in (0.25, 0.5, 0.75))
+def _reach(name: str, sized: bool) -> Column:
+    """Limits of a measure from its quartiles: by both, and by the half of the documents on the other side alone."""
+    _, _, floor, part = MEASURES[name]
+    floor = F.lit(floor)
+    if part and sized:
+        step, size = part
+        floor = step / F.greatest(F.col(f"{size}_middle"), F.lit(1.0))
+    low, middle, high = (F.col(f"{name}_{q}") for q in QUARTILES)
     spread = F.greatest(high - low, floor)
     return F.struct(
         (low - WIDENING * spread).alias("low"),
@@ -124,6 +134,33 @@ def _reach(name: str) -> Column:
     )
 
 
+def sketched(rows: DataFrame, names: list[str]) -> DataFrame:
+    """Per language, source and measure the number of documents at each step of its value; 0 has a step of its own."""
+
+    def step(name: str) -> Column:
+        return F.when(F.col(name) > 0, F.floor(F.log(F.col(name)) / F.log(F.lit(STEP))))
+
+    entries = F.array(*[F.struct(F.lit(name).alias("measure"), step(name).alias("step")) for name in names])
+    each = rows.select("lang", "source", F.inline(entries))
+    return each.groupBy("lang", "source", "measure", "step").agg(F.count(F.lit(1)).alias("n"))
+
+
+def quartiles(sketch: DataFrame, names: list[str], *by: str) -> DataFrame:
+    """``docs`` and the quartiles of every measure per group. A measure has some hundred steps, whatever the group."""
+    steps = sketch.groupBy(*by, "measure", "step").agg(F.sum("n").alias("n"))
+    whole = Window.partitionBy(*by, "measure")
+    steps = steps.withColumns(
+        {"upto": F.sum("n").over(whole.orderBy(F.asc_nulls_first("step"))), "docs": F.sum("n").over(whole)}
+    )
+    value = F.when(F.col("step").isNull(), 0.0).otherwise(F.pow(F.lit(STEP), F.col("step") + 0.5))
+    found = [
+        F.min(F.when((F.col("measure") == name) & (F.col("upto") >= share * F.col("docs")), value)).alias(f"{name}_{q}")
+        for name in names
+        for q, share in QUARTILES.items()
+    ]
+    return steps.groupBy(*by).agg(F.max("docs").alias("docs"), *found)
+
+
 def _within(own: Column, above: Column, weight: Column) -> Column:
     """Limits of a group, given those of the larger group above it and the weight of its own."""
     low = F.greatest(own["low"], F.least(above["low"], own["low_alone"]))
@@ -134,25 +171,21 @@ def _within(own: Column, above: Column, weight: Column) -> Column:
 
 
 def group_limits(rows: DataFrame) -> DataFrame:
-    """Limits per measure for every language and source (``lang``, ``source``), by merged quantile sketches.
+    """Limits per measure for every language and source (``lang``, ``source``).
 
-    One pass sketches each language and source; the sketches of a language are
-    merged, and all sketches for the whole.
+    One pass counts the steps of each language and source; those of a language are
+    summed, and those of all. Columns with the sizes of documents are used where there.
     """
     names = list(MEASURES)
-    sketches = rows.groupBy("lang", "source").agg(
-        F.count(F.lit(1)).alias("docs"), *[F.kll_sketch_agg_double(name, F.lit(ACCURACY)).alias(name) for name in names]
-    )
-    sketches = materialize(sketches)
-
-    def merged(*by: str) -> DataFrame:
-        parts = [F.kll_merge_agg_double(name).alias(name) for name in names]
-        return sketches.groupBy(*by).agg(F.sum("docs").alias("docs"), *parts)
-
-    def reaches(df: DataFrame, tag: str) -> DataFrame:
-        return df.select(
-            *[F.col(c).alias(f"{c}_{tag}") for c in ("lang", "source") if c in df.columns],
-            F.struct(*[_reach(name).alias(name) for name in names]).alias(f"limits_{tag}"),
+    sizes = {part[1] for *_, part in MEASURES.values() if part}
+    sized = sizes <= set(rows.columns)
+    counted = names + (sorted(sizes) if sized else [])
+    sketch = materialize(sketched(rows, counted))
+
+    def reaches(tag: str, *by: str) -> DataFrame:
+        return quartiles(sketch, counted, *by).select(
+            *[F.col(c).alias(f"{c}_{tag}") for c in by],
+            F.struct(*[_reach(name, sized).alias(name) for name in names]).alias(f"limits_{tag}"),
             F.col("docs").alias(f"docs_{tag}"),
         )
 
@@ -162,12 +195,12 @@ def group_limits(rows: DataFrame) -> DataFrame:
         weight = docs * docs / (docs * docs + float(LEAST_GROUP) ** 2)
         return F.struct(*[_within(F.col(f"limits_{tag}")[name], above[name], weight).alias(name) for name in names])
 
-    overall = reaches(merged(), "all").first()["limits_all"]  # one row
+    overall = reaches("all").first()["limits_all"]  # one row, of NULLs if there are no documents
     of_all = F.struct(
         *[F.struct(*[F.lit(overall[name][side]).cast("double").alias(side) for side in ("low", "high")]).alias(name) for name in names]
     )
-    of_lang = reaches(merged("lang"), "lang").withColumn("limits_lang", settled("lang", of_all))
-    joined = reaches(sketches, "own").join(of_lang, F.col("lang_own").eqNullSafe(F.col("lang_lang")))
+    of_lang = reaches("lang", "lang").withColumn("limits_lang", settled("lang", of_all))
+    joined = reaches("own", "lang", "source").join(of_lang, F.col("lang_own").eqNullSafe(F.col("lang_lang")))
     return joined.select(
         F.col("lang_own").alias("lang"), F.col("source_own").alias("source"), settled("own", F.col("limits_lang")).alias("limits")
     )

@@ -1,6 +1,7 @@
 """Quality rules, the quality classifier and benchmark passages against plain Python."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -85,6 +86,81 @@ def test_limits_equal_sorted_quartiles(spark, monkeypatch):
                 assert found[r[0]].kept == (share <= limit)
 
 
+def test_no_document_to_learn_from(spark):
+    assert judged(docs(spark, [])).collect() == []
+    found = judged(docs(spark, [(1, "too short", "en", "a", 1), (2, None, None, None, 0), (3, "x " * 50, "en", "a", 1)])).collect()
+    assert sorted((r.doc_id, r.base_failed, r.kept) for r in found) == [(1, True, False), (2, True, False), (3, True, False)]
+
+
+def test_verdicts_by_hand_and_twice_the_same(spark):
+    """Limits of all measures worked out in plain Python from sorted values; documents on a limit's step are left out."""
+    rng = random.Random(21)
+    rows = []
+    for i in range(900):
+        words = letters(rng, n=rng.choice((40, 60, 200)))
+        if rng.random() < 0.15:
+            words[rng.randrange(9) : 1] = ["##", "|"] * rng.randrange(6)
+        if rng.random() < 0.15:
+            words += words[: rng.randrange(5, 12)]
+        lines = "\n".join(" ".join(words[k : k + 8]) for k in range(0, len(words), 8))
+        if rng.random() < 0.15:
+            lines += ("\n" + lines.split("\n")[0]) * rng.randrange(3)
+        rows.append((i, lines, rng.choice(("en", "de")), rng.choice(("a", "b", "c")), 1))
+    first = {r.doc_id: r for r in judged(docs(spark, rows)).collect()}
+    again = {r.doc_id: r for r in judged(docs(spark, rows[::-1])).collect()}
+    assert first == again
+
+    def values(r):
+        words, lines = r[1].split(), [s for s in r[1].split("\n") if s.strip()]
+        f = first[r[0]]
+        return {
+            "symbol_share": f.n_symbols / len(r[1]), "word_length": f.word_chars / len(words),
+            "line_repeat": f.n_dup_lines / len(lines), "word_repeat": f.n_repeat_words / len(words),
+            "n_chars": len(r[1]), "n_lines": len(lines), "n_words": len(words),
+        }
+
+    known = {r[0]: values(r) for r in rows}
+    good = [r for r in rows if not first[r[0]].base_failed]
+
+    def reach(part, name):
+        def quartile(q, column):
+            ordered = sorted(known[r[0]][column] for r in part)
+            return ordered[max(0, math.ceil(q * len(ordered)) - 1)]
+
+        low, middle, high = (quartile(q, name) for q in (0.25, 0.5, 0.75))
+        _, _, floor, step = Q.MEASURES[name]
+        if step:
+            floor = step[0] / quartile(0.5, step[1])
+        spread = max(high - low, floor)
+        return (low - 4 * spread, high + 4 * spread, middle - 4.5 * max(2 * (high - middle), floor), middle + 4.5 * max(2 * (middle - low), floor))
+
+    def settled(part, above, name):
+        low, high, low_alone, high_alone = reach(part, name)
+        low, high = max(low, min(above[0], low_alone)), min(high, max(above[1], high_alone))
+        weight = len(part) ** 2 / (len(part) ** 2 + 100**2)
+        return tuple(a + weight * (x - a) for a, x in zip(above, (low, high), strict=True))
+
+    checked = 0
+    for lang in ("en", "de"):
+        for source in ("a", "b", "c"):
+            group = [r for r in good if r[2:4] == (lang, source)]
+            limits = {}
+            for name in Q.MEASURES:
+                above = settled([r for r in good if r[2] == lang], reach(good, name)[:2], name)
+                limits[name] = settled(group, above, name)
+            for r in group:
+                verdict, unsure = True, False
+                for name, (_, sides, *_) in Q.MEASURES.items():
+                    x, (low, high) = known[r[0]][name], limits[name]
+                    # Quartiles are exact to a hundredth, and a limit lies some quartile distances away.
+                    unsure |= abs(x - high) < 0.06 * high or ("low" in sides and abs(x - low) < 0.06 * abs(low))
+                    verdict &= x <= high and ("low" not in sides or x >= low)
+                if not unsure:
+                    checked += 1
+                    assert first[r[0]].kept == verdict
+    assert checked > 0.9 * len(good) and not all(first[r[0]].kept for r in good)
+
+
 def letters(rng, n=200, size=(3, 7)):
     return ["".join(rng.choices("abcdefghij", k=rng.randint(*size))) for _ in range(n)]
 
