@@ -23,6 +23,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -33,6 +34,15 @@ from landfall.llm.words import slices, tidy
 # Pieces in each of two generations of a worker's memory, of some 200 bytes each.
 REMEMBERED_UNITS = 450_000
 
+# Marks of pieces that came before, one byte each.
+SEEN = 1 << 22
+
+# Pieces that the library encodes in one call.
+LEARNED_AT_ONCE = 10_000
+
+# Bytes of text encoded at once, or one row.
+PIECE_BYTES = 1 << 20
+
 # Rows per entry of the row index, and bytes of a stripe.
 ROW_INDEX_STRIDE = 1000
 STRIPE_BYTES = 16 << 20
@@ -54,63 +64,103 @@ class _Library:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         special = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items()}
-        self.mark_id, self.mark = next(iter(special.items()), (None, None))
-        self.by_pieces = self.mark is not None and not any(" " in s for s in special.values())
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        # Each character of an entry stands for one byte.
+        self.lengths = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=np.int64)
+        self.lengths[list(vocabulary.values())] = [len(token) for token in vocabulary]
+        self.by_pieces = not any(" " in s or "<" not in s for s in special.values())
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.seen = bytearray(SEEN)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _learn(self, units: list[str]) -> None:
-        """Encode many pieces in one call, between marks that are encoded on their own."""
-        plain = [u for u in units if "<" not in u]
-        for k in range(0, len(plain), 2000):
-            some = plain[k : k + 2000]
-            ids = self.tokenizer.encode_batch_fast([self.mark.join(f" {u}" for u in some)], add_special_tokens=False)[0]
-            ids = np.array(ids.ids, dtype="<u4")
-            ends = np.append(np.flatnonzero(ids == self.mark_id), len(ids)).tolist()
+    def _learned(self, units: list[str]) -> list[bytes]:
+        """Encode many pieces in one call; a piece's ids are those that spell its bytes and the blank before it."""
+        out: list[bytes] = []
+        for k in range(0, len(units), LEARNED_AT_ONCE):
+            some = units[k : k + LEARNED_AT_ONCE]
+            # A piece with a special token's sign is encoded on its own.
+            plain = ["" if "<" in u else u for u in some]
+            encoded = self.tokenizer.encode_batch_fast([" " + " ".join(u for u in plain if u)], add_special_tokens=False)[0]
+            ids = np.array(encoded.ids, dtype="<u4")
+            spelled = np.cumsum(self.lengths[ids])
+            sizes = pc.binary_length(pa.array(plain, pa.large_string())).to_numpy()
+            wanted = np.cumsum(np.where(sizes > 0, sizes + 1, 0))
+            cuts = np.where(wanted > 0, np.searchsorted(spelled, wanted) + 1, 0)
+            if (sizes > 0).any() and (len(ids) != cuts[-1] or (spelled[cuts[wanted > 0] - 1] != wanted[wanted > 0]).any()):
+                raise ValueError("the tokenizer joins bytes of neighbouring words")
             packed, start = ids.tobytes(), 0
-            for unit, end in zip(some, ends, strict=True):
-                self.known[unit] = packed[4 * start : 4 * end]
-                start = end + 1
-        for unit in units:
-            if "<" in unit:
-                self.known[unit] = self.whole(f" {unit}")
-
-    def _prepare(self, units: set[str]) -> None:
-        """Have all units in ``known``, from the older generation or encoded anew.
-
-        When the younger generation is full it becomes the older one, so units that
-        keep coming are never encoded again and rare ones are forgotten.
+            for unit, whole, end in zip(some, plain, (4 * cuts).tolist(), strict=True):
+                out.append(packed[start:end] if whole else self.whole(f" {unit}"))
+                start = end
+        return out
+
+    def _prepare(self, units: list[str]) -> list[bytes]:
+        """Packed ids of different units, from memory or encoded anew.
+
+        A unit is remembered when it comes for the second time (or shares a hash with one
+        that came before): most different units come once. When the younger generation
+        is full it becomes the older one, so units that keep coming are never encoded
+        again and rare ones are forgotten.
         """
-        new = units.difference(self.known)
-        if len(self.known) + len(new) > REMEMBERED_UNITS:
-            self.older, self.known = self.known, {}
-            new = units
-        missing = []
-        for unit in new:
-            ids = self.older.get(unit)
+        if len(self.known) > REMEMBERED_UNITS:
+            self.older, self.known, self.seen = self.known, {}, bytearray(SEEN)
+        known, older, seen = self.known, self.older, self.seen
+        found = list(map(known.get, units))
+        places = []
+        for i, ids in enumerate(found):
             if ids is None:
-                missing.append(unit)
+                ids = older.get(units[i])
+                if ids is None:
+                    places.append(i)
+                else:
+                    found[i] = known[units[i]] = ids
+        missing = [units[i] for i in places]
+        for i, unit, ids in zip(places, missing, self._learned(missing), strict=True):
+            found[i] = ids
+            mark = hash(unit) & (SEEN - 1)
+            if seen[mark]:
+                known[unit] = ids
             else:
-                self.known[unit] = ids
-        self._learn(missing)
+                seen[mark] = 1
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Packed ids per text. A blank before a visible character always begins a new word."""
-        if not self.by_pieces:
-            return [self.whole(t) for t in texts]
-        split = [None if _IRREGULAR.search(t) else t.split(" ") for t in texts]
-        self._prepare({u for s in split if s for u in s[1:]})
-        known, out = self.known, []
-        for text, units in zip(texts, split, strict=True):
-            if units is None:
-                out.append(self.whole(text))
-            else:
-                head = self.whole(units[0]) if units[0] else b""
-                out.append(head + b"".join([known[u] for u in units[1:]]))
-        return out
+        """Packed ids per text."""
+        ids, at = self.encode_column(pa.array(texts, pa.large_string()))
+        return [ids[lo:hi].tobytes() for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and where each text's begin and end.
+
+        A blank before a visible character always begins a new word, so texts are cut
+        at blanks and each different piece of a batch is encoded once.
+        """
+        texts = texts.cast(pa.large_string()).fill_null("")
+        plain = texts.to_pylist()
+        if self.by_pieces:
+            odd = np.array([_IRREGULAR.search(t) is not None for t in plain], dtype=bool)
+        else:
+            odd = np.ones(len(plain), dtype=bool)
+        pieces = pc.split_pattern(pc.if_else(pa.array(odd), "", texts), pattern=" ")
+        at = pieces.offsets.to_numpy().astype(np.int64)
+        coded = pieces.values.slice(at[0], at[-1] - at[0]).dictionary_encode()
+        at -= at[0]
+        index = coded.indices.to_numpy().astype(np.int64)
+        packed = self._prepare(coded.dictionary.to_pylist())
+        # The first piece has no blank before it; a text that is odd is one piece.
+        heads = [t if strange else t.split(" ", 1)[0] for t, strange in zip(plain, odd.tolist(), strict=True)]
+        index[at[:-1]] = len(packed) + np.arange(len(plain))
+        packed += [self.whole(head) if head else b"" for head in heads]
+        pool = np.frombuffer(b"".join(packed), dtype="<i4")
+        sizes = np.fromiter(map(len, packed), dtype=np.int64, count=len(packed)) // 4
+        starts = np.cumsum(sizes) - sizes
+        lengths = sizes[index]
+        ends = np.cumsum(lengths)
+        ids = pool[np.repeat(starts[index] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        return ids, np.concatenate(([0], ends))[at]
 
 
 @lru_cache(maxsize=4)
@@ -123,16 +173,16 @@ def token_rows(docs: DataFrame, path: str, end_id: int = 0) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         library, before = _library(path), 0
-        number, end = TaskContext.get().partitionId(), np.array([end_id], dtype="<u4").tobytes()
+        number = TaskContext.get().partitionId()
         for batch in batches:
-            for piece in slices(batch, "text"):
-                packed = [ids + end for ids in library.encode([t or "" for t in piece.column("text").to_pylist()])]
-                at = np.concatenate(([0], np.cumsum([len(p) // 4 for p in packed])))
-                ids = np.frombuffer(b"".join(packed), dtype="<i4")
+            for piece in slices(batch, "text", PIECE_BYTES):
+                ids, at = library.encode_column(piece.column("text"))
+                ids = np.insert(ids, at[1:], end_id)
+                at = at + np.arange(len(at))
                 yield pa.RecordBatch.from_arrays(
                     [
                         piece.column("doc_id"),
-                        np.full(len(packed), number, dtype=np.int32),
+                        np.full(len(at) - 1, number, dtype=np.int32),
                         before + at[:-1],
                         pa.ListArray.from_arrays(at.astype(np.int32), ids),
                     ],
