@@ -39,9 +39,12 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         hung = large.join(least, "a")
         small = hung.select(F.col("b").alias("a"), F.col("_least").alias("b")).filter("a != b")
         small = materialize(small.union(least.select("a", F.col("_least").alias("b"))).distinct())
-        nodes = small.count()
-        stars = small.select("a").distinct().count() == nodes
-        if stars and small.join(small.select(F.col("a").alias("b")), "b", "left_semi").isEmpty():
+        # Stars, if no node hangs on two others, or on one while others hang on it: one job tells.
+        ends = small.select(F.col("a").alias("node"), F.lit(1).alias("hung"), F.lit(0).alias("head")).union(
+            small.select("b", F.lit(0), F.lit(1))
+        )
+        ends = ends.groupBy("node").agg(F.sum("hung").alias("hung"), F.max("head").alias("head"))
+        if ends.filter("hung + head > 1").count() == 0:
             break
         current = small
     roots = small.select("b").distinct().select(F.col("b").alias("node"), F.col("b").alias("component"))
