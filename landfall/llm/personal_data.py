@@ -40,13 +40,13 @@ CARD = r"[0-9]++(?:[\x20-][0-9]++)*+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 
 WEAK_EMAIL = (
-    r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{1,64}+(?:\x20?[\[({]at[\])}]\x20?|\x20at\x20)[a-z0-9-]{2,63}+"
-    r"(?:(?:\x20?[\[({]dot[\])}]\x20?|\x20dot\x20)[a-z0-9-]{2,63}+){1,4}"
+    r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]++(?:\x20?[\[({]at[\])}]\x20?|\x20at\x20)[a-z0-9-]{2,}+"
+    r"(?:(?:\x20?[\[({]dot[\])}]\x20?|\x20dot\x20)[a-z0-9-]{2,}+)++"
 )
 WEAK_PHONE = r"(?<![0-9.+-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.\x20-])[0-9]{3}[.\x20-][0-9]{4}(?![0-9.-])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 IBAN = r"(?<![A-Z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
-PERSON = r"(?<![A-Za-z])(?:Mr|Mrs|Ms|Dr|Prof)\.\x20[A-Z][a-z]{1,30}+(?:\x20[A-Z][a-z]{1,30}+)?"
+PERSON = r"(?<![A-Za-z])(?:Mr|Mrs|Ms|Dr|Prof)\.\x20[A-Z][a-z]++(?:\x20[A-Z][a-z]++)*+"
 
 # Gazetteers; callers may pass larger ones to the functions below.
 TOP_DOMAINS = ("com", "org", "net", "edu", "gov", "io", "de", "fr", "es", "uk", "it", "nl", "eu", "info", "biz", "us", "ca")
@@ -121,13 +121,16 @@ def _any_of(kind: Column, *kinds: str) -> Column:
     return kind.isin(*kinds)
 
 
-def described(spans: Column, text: Column) -> Column:
-    """Spans with the votes of the three labelers and their features, all small integers."""
+def described(spans: Column, pieces: Column) -> Column:
+    """Spans of a text in pieces with the votes of the three labelers and their features, all small integers."""
 
-    def one(s):
+    def around(s):
+        before = S.cut(pieces, F.greatest(s["start"] - CONTEXT, F.lit(0)), s["start"])
+        return F.struct(s.alias("s"), before.alias("before"), S.cut(pieces, s["end"], s["end"] + CONTEXT).alias("after"))
+
+    def one(near):
+        s, before, after = near["s"], near["before"], near["after"]
         kind, found, digits = s["kind"], s["found"], _digits(s["found"])
-        before = F.substr(text, F.greatest(s["start"] - CONTEXT + 1, F.lit(1)).cast("int"), F.least(s["start"], F.lit(CONTEXT)).cast("int"))
-        after = F.substr(text, (s["end"] + 1).cast("int"), F.lit(CONTEXT))
         area = digits.substr(1, 3)
         right = (
             _any_of(kind, *BASE_KINDS)
@@ -157,7 +160,7 @@ def described(spans: Column, text: Column) -> Column:
             F.when(after.rlike(r"^(?:$|[\s.,;:!?)\"'])"), 1).otherwise(0).alias("closes"),
         )
 
-    return F.transform(spans, one)
+    return F.transform(F.transform(spans, around), one)
 
 
 VOTES = ("format", "gazetteer", "context")
@@ -259,8 +262,11 @@ def with_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with the arrays ``base`` and ``weak`` of described spans. Candidates on a base span are left out."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.withColumns({"base": base_spans(text), "weak": candidate_spans(text)})
-    free = F.filter("weak", lambda w: ~F.exists("base", lambda b: S.overlaps(w, b)))
-    return rows.withColumns({"base": described(F.col("base"), text), "weak": described(free, text)})
+    rows = rows.withColumn("weak", S.free_of(F.col("weak"), F.col("base")))
+    # Texts without spans, which are most, are not cut.
+    rows = rows.withColumn("_pieces", F.when(F.size("base") + F.size("weak") > 0, S.pieces_of(text)))
+    both = {name: described(F.col(name), F.col("_pieces")) for name in ("base", "weak")}
+    return rows.withColumns(both).drop("_pieces")
 
 
 def accepted(model: SpanModel | None) -> Column:
@@ -289,27 +295,34 @@ def personal_digests(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def masked(text: Column, spans: Column) -> Column:
-    """The text with every span replaced by ``<KIND>``; overlapping spans become one."""
+    """The text with every span replaced by ``<KIND>``; overlapping spans become one.
+
+    ``spans`` are in order. Each brings what stands between the spans before and it;
+    what follows the last comes with no span.
+    """
+
+    def piece(pieces, length):
+        def one(s, upto):
+            mark = F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">"))
+            own = F.when(s["start"] >= upto, F.concat(S.cut(pieces, upto, s["start"]), mark)).otherwise("")
+            return F.when(s.isNull(), S.cut(pieces, upto, length)).otherwise(own)
 
-    def step(done, s):
-        piece = F.substr(text, (done["upto"] + 1).cast("int"), (s["start"] - done["upto"]).cast("int"))
-        fresh = s["start"] >= done["upto"]
-        out = F.when(fresh, F.concat(done["out"], piece, F.lit("<"), F.upper(s["kind"]), F.lit(">"))).otherwise(done["out"])
-        return F.struct(F.greatest(s["end"], done["upto"]).alias("upto"), out.alias("out"))
+        return one
 
-    zero = F.struct(F.lit(0).cast("long").alias("upto"), F.lit("").alias("out"))
-    rest = lambda done: F.concat(done["out"], F.substr(text, (done["upto"] + 1).cast("int")))
-    return F.aggregate(spans, zero, step, rest)
+    reach = F.concat(F.array(F.lit(0).cast("long")), S.running(F.transform(spans, lambda s: s["end"]), F.greatest))
+    length = F.char_length(text).cast("long")
+    return S.let(S.pieces_of(text), lambda pieces: F.array_join(F.zip_with(spans, reach, piece(pieces, length)), ""))
 
 
 def redacted(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with personal data in the text replaced by its kind. ``n_chars`` follows the text."""
-    plain = docs.select(F.col(text_col).alias("_text"))
-    model = train(materialize(with_spans(plain, "_text").select("base", "weak")))
     columns = docs.columns
-    named = docs.select(*[F.col(f"`{c}`").alias(f"_c{k}") for k, c in enumerate(columns)], F.col(text_col).alias("_text"))
-    rows = with_spans(named, "_text").withColumn("_all", F.concat("base", accepted(model)))
-    rows = rows.withColumn("_new", F.when(F.size("_all") > 0, masked(F.col("_text"), S.ordered(F.col("_all"), KINDS))))
+    own = f"_c{columns.index(text_col)}"
+    named = docs.select(*[F.col(f"`{c}`").alias(f"_c{k}") for k, c in enumerate(columns)])
+    rows = materialize(with_spans(named, own))  # so the patterns run once
+    rows = rows.withColumn("_all", F.concat("base", accepted(train(rows))))
+    text = F.col(own).cast("string")
+    rows = rows.withColumn("_new", F.when(F.size("_all") > 0, masked(text, S.ordered(F.col("_all"), KINDS))))
     out = []
     for k, c in enumerate(columns):
         value = F.col(f"_c{k}")

@@ -12,7 +12,9 @@ Parts are joined on the stretches of text their neighbourhoods touch. As parts
 have a least length, a stretch holds few of them, whatever the document. Only places
 are joined: a long part stands in many stretches, its text stays with its row.
 
-NULL and empty texts hold nothing. Repeated rows each get their spans.
+NULL and empty texts hold nothing. Repeated rows each get their spans. An empty table
+gives no rows. Only the id and the text are read, so other columns may have any name.
+Time is in proportion to the matches in a text, however many one text holds.
 """
 
 from __future__ import annotations
@@ -40,8 +42,8 @@ WEAK_ID = (
 )
 WEAK_SECRET = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z])[A-Za-z0-9+/_-]{20,}+"
 WEAK_ENDPOINT = (
-    r"(?i)(?<![a-z0-9])(?:https?|ftps?|ssh|amqps?|redis|postgres(?:ql)?|mysql|mongodb|jdbc:[a-z0-9]{2,20})"
-    r"://[A-Za-z0-9.-]{3,}+(?::[0-9]{2,5})?"
+    r"(?i)(?<![a-z0-9])(?:https?|ftps?|ssh|amqps?|redis|postgres(?:ql)?|mysql|mongodb|jdbc:[a-z0-9]++)"
+    r"://[A-Za-z0-9.-]{3,}+(?::[0-9]++)?+"
 )
 
 
@@ -77,9 +79,7 @@ def find_secrets(docs: DataFrame, scope: int = SCOPE, id_col: str = "doc_id", te
         F.col(id_col).alias("id"), base_spans(text).alias("base"), weak_spans(text).alias("weak"), S.row_key(id_col, text).alias("key")
     )
     # Spans alone are kept, so the texts are read once.
-    found = found.withColumn(
-        "weak", F.filter("weak", lambda w: ~F.exists("base", lambda b: S.overlaps(w, b)))
-    )
+    found = found.withColumn("weak", S.free_of(F.col("weak"), F.col("base")))
     parts = F.size("weak") > 0
     found = materialize(found.withColumn("key", F.when(parts, F.col("key"))))
     linked = confirmed(found.filter("key is not null"), scope)

@@ -5,6 +5,7 @@ import random
 import re
 
 from landfall.llm import personal_data, secrets
+from landfall.llm import spans as S
 from landfall.llm.personal_data import personal_digests, redacted
 from landfall.llm.secrets import find_secrets, secret_digests
 
@@ -189,3 +190,51 @@ def test_redaction(spark):
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert secret_digests(empty).collect() == personal_digests(empty).collect() == redacted(empty).collect() == []
+
+
+def test_many_matches_in_one_text(spark):
+    """Time is in proportion to the matches: this took minutes when it grew with their square."""
+    mails = " ".join(f"ab{i}@mail.com" for i in range(100_000))
+    rows = [(1, mails, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, base string")
+    assert [tuple(r[:-1]) for r in personal_digests(df).collect()] == [(1, *expected(mails, PERSONAL_KINDS)[:-1])]
+    assert redacted(df).collect() == [(1, " ".join(["<EMAIL>"] * 100_000), "x")]
+    tokens = " ".join(f"token=abcdefgh{i}" for i in range(100_000))
+    df = spark.createDataFrame([(1, tokens, "x")], "doc_id long, text string, base string")
+    assert [tuple(r[:-1]) for r in secret_digests(df).collect()] == [(1, *expected(tokens, SECRET_KINDS)[:-1])]
+
+
+def test_weak_parts_of_any_length_are_whole(spark):
+    name, domain = "N" + "a" * 40, "a" * 70
+    mail = f"{'jo' * 50} at {domain} dot a1 dot b2 dot c3 dot d4 dot e5 dot com"
+    key = "Zx81kQ0pLm44TtRrWw92"
+    df = spark.createDataFrame([(1, f"contact Dr. {name} {name} {name}, {mail}.")], SCHEMA)
+    found = df.select(personal_data.candidate_spans(df.text).alias("s")).first().s
+    assert [s.found for s in found] == [mail, f"Dr. {name} {name} {name}"]
+    df = spark.createDataFrame([(1, f"jdbc:{'q' * 30}://db.example.com:1234567 {key}")], SCHEMA)
+    found = df.select(secrets.weak_spans(df.text).alias("s")).first().s
+    assert [s.found for s in found] == [key, f"jdbc:{'q' * 30}://db.example.com:1234567"]
+
+
+def test_free_spans_and_masks_equal_plain_loops(spark):
+    rng = random.Random(9)
+    rows = []
+    for i in range(300):
+        text = "".join(rng.choices("ab é😀\n", k=rng.randrange(900)))
+        some = [sorted(rng.choices(range(len(text) + 1), k=2)) for _ in range(rng.choice([0, 1, 5, 200]))] if text else []
+        spans = [("k", a, b, "") for a, b in some if a < b]
+        rows.append((i, text, spans[::2], spans[1::2]))
+    array = f"array<{S.SPAN}>"
+    df = spark.createDataFrame(rows, f"doc_id long, text string, base {array}, weak {array}")
+    out = df.select(
+        "doc_id", S.free_of(df.weak, df.base).alias("free"), personal_data.masked(df.text, S.ordered(df.base, ["k"])).alias("masked")
+    )
+    for (_, text, base, weak), r in zip(rows, sorted(out.collect()), strict=True):
+        assert sorted((s.start, s.end) for s in r.free) == sorted(
+            w[1:3] for w in weak if not any(w[1] < b[2] and b[1] < w[2] for b in base)
+        )
+        parts, upto = [], 0
+        for _, start, end, _ in sorted(base, key=lambda s: s[1:3]):
+            parts += [text[upto:start], "<K>"] if start >= upto else []
+            upto = max(upto, end)
+        assert r.masked == "".join(parts) + text[upto:]
