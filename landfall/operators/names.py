@@ -55,8 +55,13 @@ def repair_names(
         same = same & names[column].eqNullSafe(listed[column])
     unknown = names.join(listed, same, "left_anti")
 
+    # The names are few bytes but have many keys each: spread them over all shuffle
+    # partitions before keys are made, so that no single task makes and sorts them all.
+    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
     def keyed(table: DataFrame, text: str, prefix: str) -> DataFrame:
         columns = [F.col(c).alias(f"{prefix}{i}") for i, c in enumerate(within)]
+        table = table.repartition(spread, text)
         return table.select(*columns, text, F.explode(deletions(F.col(text), most)).alias(f"{prefix}key"))
 
     left, right = keyed(unknown, "_name", "_a"), keyed(listed, "_known", "_b")

@@ -58,6 +58,14 @@ def test_names_do_not_meet_all_with_all(spark):
     assert "NestedLoop" not in text and "Cartesian" not in text and "EvalPython" not in text
 
 
+def test_names_are_spread_before_their_keys(spark):
+    known = spark.createDataFrame([(f"name{i:03d}",) for i in range(300)], "name string")
+    wrong = spark.createDataFrame([(f"nme{i:03d}",) for i in range(0, 300, 7)], "name string")
+    got = repair_names(wrong, "name", known)
+    assert "REPARTITION_BY_NUM" in plan_text(got)
+    assert {(r.name, r.repaired, r.distance) for r in got.collect()} == {(f"nme{i:03d}", f"name{i:03d}", 1) for i in range(0, 300, 7)}
+
+
 def test_repairs_of_nothing(spark):
     none = spark.createDataFrame([], "name string")
     some = spark.createDataFrame([("a",), (None,)], "name string")
