@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -34,6 +35,12 @@ WORD_RULE = (
     rf"| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 )
 
+# Words of at most this many bytes are merged by scanning their pairs, longer ones through a queue.
+SHORT_WORD = 32
+
+# The rank of a pair that is never merged.
+_NEVER = 1 << 62
+
 # A blank before one of these does not begin a word of its own.
 _IRREGULAR = regex.compile(rf" (?:[{SPACE}]|$)")
 
@@ -91,12 +98,16 @@ class BytePairs:
             left, right = pair.split(" ") if isinstance(pair, str) else pair
             self.merged.append(vocabulary[left + right])
             self.ranks.setdefault(vocabulary[left] << 32 | vocabulary[right], rank)
+        # Ranks of the pairs of single bytes, by the first byte and then the second.
+        self.byte_ranks = [[self.ranks.get(a << 32 | b, _NEVER) for b in self.of_byte] for a in self.of_byte]
         self.words = regex.compile(WORD_RULE)
         self.specials = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
         self.known_words, self.known_units = Memory(), Memory()
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of one word: the pair of lowest rank is joined first, the leftmost of equals."""
+        if len(word) <= SHORT_WORD:
+            return self._merge_short(word)
         symbols = [self.of_byte[b] for b in word]
         n, ranks, merged = len(symbols), self.ranks, self.merged
         queue = []
@@ -130,8 +141,27 @@ class BytePairs:
                     heapq.heappush(queue, rank << 32 | h)
         return [s for s in symbols if s >= 0]
 
+    def _merge_short(self, word: bytes) -> list[int]:
+        """As ``merge``, rescanning the ranks of neighbouring pairs, which is quicker for short words."""
+        of_byte, ranks, merged, byte_ranks = self.of_byte, self.ranks, self.merged, self.byte_ranks
+        symbols = list(map(of_byte.__getitem__, word))
+        pairs = [byte_ranks[a][b] for a, b in zip(word, word[1:])]
+        while pairs:
+            rank = min(pairs)
+            if rank == _NEVER:
+                break
+            i = pairs.index(rank)
+            joined = merged[rank]
+            symbols[i : i + 2] = (joined,)
+            del pairs[i]
+            if i:
+                pairs[i - 1] = ranks.get(symbols[i - 1] << 32 | joined, _NEVER)
+            if i < len(pairs):
+                pairs[i] = ranks.get(joined << 32 | symbols[i + 1], _NEVER)
+        return symbols
+
     def _packed(self, ids: list[int]) -> bytes:
-        return b"".join(i.to_bytes(4, "little") for i in ids)
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _plain(self, text: str) -> bytes:
         out = []

@@ -41,6 +41,25 @@ def test_ids_equal_the_library(library, remembered):
         assert pairs.decode(pairs.encode(text)) == library.decode(ids, skip_special_tokens=False) == text
 
 
+def test_short_and_long_words_merge_alike(library, monkeypatch):
+    """Short words are merged by scanning their pairs, long ones through a queue: both as the library."""
+    from landfall.llm import bpe
+
+    rng = random.Random(8)
+    letters = ["a", "aa", "e", "th", "é", "日", "ab", "ß"]  # one word of the library each
+    words = [" " + "".join(rng.choices(letters, k=rng.randrange(1, 40))) for _ in range(2000)]
+    words += ["a" * n for n in range(1, 70)] + [" " + "ab" * n for n in range(1, 40)]
+    pairs = BytePairs(PATH)
+    for word in words:
+        raw = word.encode("utf-8")
+        expected = library.encode(word, add_special_tokens=False).ids
+        if len(raw) <= bpe.SHORT_WORD:
+            assert pairs._merge_short(raw) == expected, word
+        monkeypatch.setattr(bpe, "SHORT_WORD", -1)
+        assert pairs.merge(raw) == expected, word
+        monkeypatch.undo()
+
+
 def test_piecewise_library_calls_equal_whole_ones(library, monkeypatch):
     monkeypatch.setattr(token_files, "REMEMBERED_UNITS", 500)
     some = token_files._Library(PATH)
