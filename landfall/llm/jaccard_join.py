@@ -351,20 +351,31 @@ def _compatible(
 
 
 def _compared(num: int, den: int):
+    """Edges of each run of rows with one key and part, which come sorted by key, part, label and id.
+
+    One run is held at a time: two blocks of documents at most.
+    """
+    names = ("label", "n", "bits")
+
+    def compared(run):
+        if run["label"] and run["label"][0] != run["label"][-1]:
+            sizes, labels = np.array(run["n"]), np.array(run["label"])
+            found = {(min(e), max(e)) for e in _compatible(sizes, run["bits"], labels, num, den)}
+            if found:
+                pairs = np.array(sorted(found), dtype=np.int64)
+                yield pa.RecordBatch.from_arrays([pairs[:, 0].copy(), pairs[:, 1].copy()], ["a", "b"])
+
     def rows(batches):
-        held = [batch.to_pydict() for batch in batches]
-        table = {k: [x for h in held for x in h[k]] for k in ("key", "part", "id", "label", "n", "bits")}
-        found = set()
-        # In order of labels, so that the keys of a group give the same edges.
-        order = sorted(range(len(table["id"])), key=lambda i: tuple(table[k][i] for k in ("key", "part", "label", "id")))
-        for _, run in groupby(order, key=lambda i: (table["key"][i], table["part"][i])):
-            run = list(run)
-            if table["label"][run[0]] != table["label"][run[-1]]:
-                sizes, labels = (np.array([table[k][i] for i in run]) for k in ("n", "label"))
-                found.update((min(e), max(e)) for e in _compatible(sizes, [table["bits"][i] for i in run], labels, num, den))
-        if found:
-            pairs = np.array(sorted(found), dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([pairs[:, 0].copy(), pairs[:, 1].copy()], ["a", "b"])
+        run, task = {k: [] for k in names}, None
+        for batch in batches:
+            table = batch.to_pydict()
+            for i, key in enumerate(zip(table["key"], table["part"], strict=True)):
+                if key != task:
+                    yield from compared(run)
+                    run, task = {k: [] for k in names}, key
+                for k in names:
+                    run[k].append(table[k][i])
+        yield from compared(run)
 
     return rows
 
@@ -397,6 +408,8 @@ def prefix_candidates(
     dealt = entries.withColumn("own", own).withColumn("other", other)
     dealt = dealt.withColumn("part", F.least("own", "other") * F.col("blocks") + F.greatest("own", "other"))
     rows = dealt.select("key", "part", "id").join(maps, "id").repartition("key", "part")
+    # In order of labels, so that the keys of a group give the same edges.
+    rows = rows.sortWithinPartitions("key", "part", "label", "id")
     return rows.mapInArrow(tidy(_compared(num, den)), "a long, b long").union(alike).distinct()
 
 

@@ -111,3 +111,25 @@ def test_many_copies_of_one_text(spark):
     df = spark.createDataFrame(rows, SCHEMA).repartition(6)
     components = {r.component_id for r in near_duplicates(df, 3, 90, 100).collect()}
     assert components == {0, 5000}
+
+
+def test_lists_compared_one_run_at_a_time():
+    """A task holds the rows of one key and part at a time, not all of its partition."""
+    import numpy as np
+    import pyarrow as pa
+
+    bits = jaccard_join._bitmap(np.arange(1, 41, dtype=np.uint64) << np.uint64(8))
+    pulled = []
+
+    def batches():
+        for key in range(3):
+            pulled.append(key)
+            yield pa.RecordBatch.from_pylist(
+                [{"id": 10 * key + i, "key": key, "part": 0, "n": 40, "bits": bits, "label": 10 * key + i} for i in (1, 2)]
+            )
+
+    out = jaccard_join._compared(80, 100)(batches())
+    first = next(out)
+    assert pulled == [0, 1]
+    assert first.to_pylist() == [{"a": 1, "b": 2}]
+    assert [r for b in out for r in b.to_pylist()] == [{"a": 11, "b": 12}, {"a": 21, "b": 22}]
